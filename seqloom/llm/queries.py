@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, neardup, quality, shards
+from . import collide, mixing, neardup, quality, secrets, shards, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,25 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+#: The rule set of the query: action, host, path prefix.
+URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
+
+
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = urls.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan(_table(spark, sf_dir, "documents"))
+    n = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return out.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(secrets.joined("base").cast("binary"), 256).alias("base_sha256"), secrets.joined("all").alias("spans"))
+
+
+def op6_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collide.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op8_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shards.kd_shards(_table(spark, sf_dir, "documents"), n_shards=16)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
