@@ -54,16 +54,18 @@ def measure(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     covered = f"aggregate(transform(p, (x, i) -> least({k}, coalesce(get(p, i + 1) - x, {k}))), 0L, (a, x) -> a + x)"
     let = "element_at(transform(array({value}), {name} -> {body}), 1)".format
     inner = let(value="sort_array(transform(_h, (h, i) -> named_struct('h', h, 'i', i)))", name="s", body=let(value=places, name="p", body=covered))
-    return base.select(
-        *[F.col(c) for c in docs.columns],
-        F.expr("cast(size(_w) AS bigint)").alias("n_words"),
-        F.expr(f"cast(length({t}) - length(translate({t}, ' \\u0009\\u000A\\u000B\\u000C\\u000D', '')) AS bigint)").alias("_spaces"),
-        F.expr(f"cast(length({t}) AS bigint)").alias("_chars"),
-        F.expr(f"cast(regexp_count({t}, '[#*$%&|<>]') AS bigint)").alias("n_symbols"),
-        F.expr("cast(size(_l) AS bigint)").alias("n_lines"),
-        F.expr("cast(size(_l) - size(array_distinct(_l)) AS bigint)").alias("n_dup_lines"),
-        F.expr(f"CASE WHEN size(array_distinct(_h)) = size(_h) THEN 0L ELSE {inner} END").alias("n_repeat_words"),
-    ).withColumn("word_chars", F.expr("_chars - _spaces")).drop("_chars", "_spaces")
+    measures = {
+        "n_words": "cast(size(_w) AS bigint)",
+        "word_chars": f"cast(length(translate({t}, ' \\u0009\\u000A\\u000B\\u000C\\u000D', '')) AS bigint)",
+        "n_symbols": f"cast(regexp_count({t}, '[#*$%&|<>]') AS bigint)",
+        "n_lines": "cast(size(_l) AS bigint)",
+        "n_dup_lines": "cast(size(_l) - size(array_distinct(_l)) AS bigint)",
+        "n_repeat_words": f"CASE WHEN size(array_distinct(_h)) = size(_h) THEN 0L ELSE {inner} END",
+    }
+    # As a generator's output the measures are computed once: a filter on them is not pushed below,
+    # where the optimiser would write them out again inside its condition.
+    row = ", ".join(f"'{k}', {v}" for k, v in measures.items())
+    return base.select(*[F.col(c) for c in docs.columns], F.expr(f"inline(array(named_struct({row})))"))
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collide, mixing, neardup, quality, secrets, shards, urls
+from . import collide, linededup, mixing, neardup, quality, secrets, shards, spm, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     fps = neardup.fingerprints(_table(spark, sf_dir, "documents"), words=3, seeds=(42,))
     out = neardup.components(fps, bits=64, radius=2)
@@ -49,6 +55,14 @@ def op8_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+#: A parameter: the model file, read on the driver.
+SPM_MODEL = os.environ.get("SEQLOOM_SPM_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spm.encode(_table(spark, sf_dir, "documents"), SPM_MODEL).select("doc_id", "n_tokens", "ids_sha256", "decoded_ok", "parity")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.apply_policy(quality.ledger(_table(spark, sf_dir, "documents").select("doc_id", "text")), "v1")
     base = F.col("fail_bits").bitwiseAND(F.lit(quality.mask("base"))) != 0
