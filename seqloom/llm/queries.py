@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collide, linededup, mixing, neardup, quality, secrets, shards, spm, urls
+from . import collide, linededup, mixing, neardup, quality, secrets, shards, spm, suffix, urls
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +50,11 @@ def op6_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collide.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix.repeated_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shards.kd_shards(_table(spark, sf_dir, "documents"), n_shards=16)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
