@@ -40,9 +40,10 @@ def _lines(docs: DataFrame, min_tokens: int) -> DataFrame:
     rows = docs.select("doc_id", "text", *row_key()).where("text IS NOT NULL")
     lines = rows.select("r1", "r2", "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     tokens = F.array_remove(F.split("line", SPACE), "")
-    lines = lines.withColumn("tokens", tokens).where(F.size("tokens") >= min_tokens)
-    masked = F.when(F.col("line").rlike("[0-9]"), F.transform("tokens", lambda t: F.when(t.rlike("[0-9]"), F.lit("<*>")).otherwise(t))).otherwise(F.col("tokens"))
-    return lines.select("r1", "r2", "doc_id", "line_no", masked.alias("tokens")).withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)))
+    masked = F.when(F.col("line").rlike("[0-9]"), F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit("<*>")).otherwise(t))).otherwise(tokens)
+    # As a generator's output the tokens are made once: filters on them stay above it.
+    lines = lines.select("r1", "r2", "doc_id", "line_no", F.inline(F.array(F.struct(masked.alias("tokens"))))).where(F.size("tokens") >= min_tokens)
+    return lines.withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)))
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3) -> DataFrame:
