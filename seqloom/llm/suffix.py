@@ -269,21 +269,25 @@ def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
     asked = bearers.groupBy("r1", "r2").agg(F.collect_list(F.struct("h", "c1", "c2", "w", "lo", "hi", "p")).alias("s"))
     with_text = skew_join(keyed.select("r1", "r2", "text"), asked, ["r1", "r2"]).select("text", "s")
     pieces = with_text.mapInArrow(_pieces(length), "h long, c1 long, c2 long, w long, q int, k1 long, k2 long, left binary, right binary")
-    pieces = store(pieces.dropDuplicates(["h", "c1", "c2", "q"]))  # repeated rows bear the same stretch
+    # A repeated row bears its stretches repeatedly; they weigh two or more already, so nothing changes.
+    pieces = store(pieces)
     piece = ["h", "q", "k1", "k2"]
     variants = pieces.groupBy(*piece, "left", "right").agg(F.sum("w").alias("w"))
     shared = pieces.groupBy(*piece).agg(F.sum("w").alias("_t")).where("_t > 1")
     variants = store(skew_join(variants, shared, piece).drop("_t"))
     many = variants.groupBy(*piece).agg(F.count(F.lit(1)).alias("_n"))
     sized = store(skew_join(variants, many, piece))
-    few = sized.where(f"_n <= {MOST_VARIANTS}").drop("_n")
-    solved = few.repartition(*piece).sortWithinPartitions(*piece).mapInPandas(_sorted_pieces, "h long, q int, k1 long, k2 long, left binary, right binary, least int, most int")
+    # A single variant that weighs two or more repeats outright.
+    lone = sized.where("_n = 1").select(*piece, "left", "right", F.expr(f"{PIECE - 1} - length(right)").alias("least"), F.expr("length(left)").alias("most"))
+    few = sized.where(f"_n > 1 AND _n <= {MOST_VARIANTS}").drop("_n")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    solved = few.repartition(tasks, *piece).sortWithinPartitions(*piece).mapInPandas(_sorted_pieces, "h long, q int, k1 long, k2 long, left binary, right binary, least int, most int")
     last = PIECE - 1
     each = sized.where(f"_n > {MOST_VARIANTS}").withColumn("d", F.explode(F.expr(f"sequence({last} - length(right), length(left))")))
     each = each.withColumn("win", F.expr(f"concat(substring(left, length(left) - d + 1, d), substring(right, 1, {last} - d))"))
     twice = each.groupBy(*piece, "d", "win").agg(F.sum("w").alias("_s")).where("_s > 1")
     counted = skew_join(each, twice, [*piece, "d", "win"]).groupBy(*piece, "left", "right").agg(F.min("d").alias("least"), F.max("d").alias("most"))
-    solved = store(solved.union(counted.select(*solved.columns)))
+    solved = store(solved.union(counted.select(*solved.columns)).union(lone))
     part = skew_join(pieces, solved, [*piece, "left", "right"]).groupBy("h", "c1", "c2").agg(F.max(F.expr(f"q * {PIECE} + most")).alias("far"), F.min(F.expr(f"q * {PIECE} + least")).alias("near"))
     # All windows of a stretch hold its anchor, so what they cover is one range.
     whole = ctx.where("w > 1").select("h", "c1", "c2", F.expr("rep.p - rep.lo").cast("long").alias("far"), F.expr("rep.p - rep.hi").cast("long").alias("near"))
