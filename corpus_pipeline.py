@@ -20,7 +20,8 @@ MODEL = os.environ.get("SEQLOOM_SPM_MODEL", "/opt/tokenizers/piece_bpe_32k.model
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no rule of policy v1 rejects."""
-    return quality.apply_policy(quality.ledger(docs), "v1").where("kept").select(*docs.columns)
+    packed = docs.select("text", F.struct(*docs.columns).alias("_row"))
+    return quality.apply_policy(quality.ledger(packed), "v1").where("kept").select("_row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

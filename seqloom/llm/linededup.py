@@ -13,7 +13,7 @@ but the first (the smallest id), which keeps the passage once in the corpus.
 Defined results: a null text has no lines and stays null; lines with fewer than ``min_tokens``
 words are never dropped; a row is identified by its id and text, so repeated rows count as one
 document and get equal results; a document may end up empty, and stays as a row; an empty table
-gives no row.
+gives no row; input columns named n_lines or n_dropped are replaced.
 """
 
 from __future__ import annotations
@@ -40,7 +40,10 @@ def _lines(docs: DataFrame, min_tokens: int) -> DataFrame:
     rows = docs.select("doc_id", "text", *row_key()).where("text IS NOT NULL")
     lines = rows.select("r1", "r2", "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     tokens = F.array_remove(F.split("line", SPACE), "")
-    masked = F.when(F.col("line").rlike("[0-9]"), F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit("<*>")).otherwise(t))).otherwise(tokens)
+    fields = F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit("<*>")).otherwise(t))
+    # A line of mostly such tokens (a row of numbers) has no template; it matches itself only.
+    fields = F.get(F.transform(F.array(fields), lambda m: F.when(F.size(F.array_remove(m, "<*>")) * 2 >= F.size(m), m)), F.lit(0))
+    masked = F.when(F.col("line").rlike("[0-9]"), F.coalesce(fields, tokens)).otherwise(tokens)
     # As a generator's output the tokens are made once: filters on them stay above it.
     lines = lines.select("r1", "r2", "doc_id", "line_no", F.inline(F.array(F.struct(masked.alias("tokens"))))).where(F.size("tokens") >= min_tokens)
     return lines.withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)))
@@ -83,9 +86,10 @@ def dropped_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3) -> Da
 def dedup_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3) -> DataFrame:
     """``docs`` with the text that is left, and n_lines and n_dropped."""
     gone = dropped_lines(docs, min_docs, min_tokens).groupBy("r1", "r2").agg(F.collect_list("line_no").alias("_gone"))  # bounded by one text's lines
-    keyed = docs.select("*", *row_key())
+    keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    keyed = docs.select("doc_id", "text", F.struct(*keep).alias("_row"), *row_key())
     both = skew_join(keyed, gone, ["r1", "r2"], "left").withColumn("_lines", F.split("text", "\n"))
     left = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone"), lambda i: F.get("_lines", i)), "\n")
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)
-    return both.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
-                       F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"))
+    both = both.select(F.col("_row").withField("text", text).alias("_row"), F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"))
+    return both.select("_row.*", "n_lines", "n_dropped")

@@ -75,6 +75,7 @@ def mix(docs: DataFrame, cap: float = 3.0, weights: tuple[int, ...] = (1, 2, 3),
 
 def emit(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus itself: every document as often as it was taken, columns unchanged."""
-    mixed = mix(docs, keep=tuple(c for c in docs.columns if c != "source"), **options)
+    packed = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("_row"))  # names cannot clash
+    mixed = mix(packed, keep=("doc_id", "_row"), **options)
     taken = mixed.where("copies > 0").withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return taken.select(*docs.columns)
+    return taken.select("_row.*")

@@ -5,7 +5,8 @@ bits, so that changing policy, or asking what each rule costs, never reads a tex
 of it is per-row SQL on arrays of one text's words: no shuffle but for the ablation counts.
 
 Defined results: a null or empty text has no words and fails ``few_words``; rows are judged one
-by one, so ties and repeated rows do not matter; an empty table gives an empty ledger.
+by one, so ties and repeated rows do not matter; an empty table gives an empty ledger; input
+columns named like a measure are replaced by it.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def measure(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     # As a generator's output the measures are computed once: a filter on them is not pushed below,
     # where the optimiser would write them out again inside its condition.
     row = ", ".join(f"'{k}', {v}" for k, v in measures.items())
-    return base.select(*[F.col(c) for c in docs.columns], F.expr(f"inline(array(named_struct({row})))"))
+    return base.select(*[F.col(c) for c in docs.columns if c not in measures], F.expr(f"inline(array(named_struct({row})))"))
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
