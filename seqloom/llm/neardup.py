@@ -15,6 +15,7 @@ component; an empty table gives no row.
 from __future__ import annotations
 
 import itertools
+import math
 import random
 from collections.abc import Iterator
 
@@ -28,6 +29,8 @@ from .common import arrow_rows, connected_components, skew_join, store
 #: Members of a key that are joined pair by pair; beyond it the exact linear or tiled way is used.
 PAIRED_MEMBERS = 32
 TILE = 512
+#: Up to this radius keys are guaranteed blocks; beyond it they would be too narrow.
+GUARANTEED_RADIUS = 4
 
 
 def text_fingerprint(text: bytes | None, words: int, seeds: tuple[int, ...]) -> list[int]:
@@ -86,6 +89,17 @@ def block_keys(bits: int, radius: int, keys: int | None = None, key_bits: int =
     return out[:keys]
 
 
+def wide_plan(n: int, bits: int, near: int = 14, recall: float = 0.98, spare: int = 6) -> list[list[int]]:
+    """Keys for wide radii over n distinct fingerprints.
+
+    Keys are log2(n) + spare bits wide, so that a key holds 2^-spare strangers on average at every
+    size, and as many as give a pair ``near`` bits apart the stated chance of sharing one.
+    """
+    width = min(60, max(16, math.ceil(math.log2(max(n, 2))) + spare))
+    share = math.comb(bits - near, width) / math.comb(bits, width)
+    return block_keys(bits, 0, math.ceil(math.log(1 - recall) / math.log(1 - share)), width)
+
+
 def _keyed(distinct: DataFrame, plan: list[list[int]]) -> DataFrame:
     """(k, key, id, fp): a row for each key of each distinct fingerprint."""
 
@@ -161,7 +175,9 @@ def components(fps: DataFrame, bits: int, radius: int, plan: list[list[int]] | N
     """(doc_id, fp, component_id) for ``fps(doc_id, fp)``: the smallest id reachable by links within the radius."""
     fps = store(fps)
     distinct = store(fps.groupBy("fp").agg(F.min("doc_id").alias("id")))
-    links = hamming_links(distinct.where("id IS NOT NULL"), bits, radius, plan or block_keys(bits, radius))
+    if plan is None:
+        plan = block_keys(bits, radius) if radius <= GUARANTEED_RADIUS else wide_plan(distinct.count(), bits)
+    links = hamming_links(distinct.where("id IS NOT NULL"), bits, radius, plan)
     # One id on several texts is one document: its fingerprints are linked through it.
     again = fps.join(distinct, "fp").where("doc_id <> id").select(F.col("doc_id").alias("src"), F.col("id").alias("dst"))
     shared = fps.groupBy("doc_id").agg(F.count_distinct("fp").alias("n")).where("n > 1").select("doc_id")
@@ -171,16 +187,14 @@ def components(fps: DataFrame, bits: int, radius: int, plan: list[list[int]] | N
     return skew_join(fps, named, ["fp"], "left")
 
 
-def simhash_components(docs: DataFrame, words: int = 5, bits: int = 128, radius: int = 24, keys: int | None = 56) -> DataFrame:
+def simhash_components(docs: DataFrame, words: int = 5, bits: int = 128, radius: int = 24) -> DataFrame:
     """Near-duplicate components of documents.
 
     The default takes five words and a radius of 24 of 128 bits: shingle multisets of Jaccard
-    similarity 0.8 lie at a cosine of 0.89, that is 19.5 bits apart on average. With 56 keys of 20
-    bits a pair at 12 bits is found with probability over 0.99, one at 20 bits with about 0.9.
-    ``keys=None`` uses the guaranteed pigeonhole blocks instead, meant for radii up to 3 or so.
+    similarity 0.8 lie at a cosine of 0.89, that is 19.5 bits apart on average. Radii up to
+    GUARANTEED_RADIUS miss no pair; see wide_plan() for the others.
     """
-    plan = block_keys(bits, radius, keys)
-    return components(fingerprints(docs, words, tuple(range(42, 42 + bits // 64))), bits, radius, plan)
+    return components(fingerprints(docs, words, tuple(range(42, 42 + bits // 64))), bits, radius)
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
