@@ -359,13 +359,20 @@ def q_profile_scan(s, d):
     return sequence.profile_scan(table(s, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("seq")), "erth")
 
 
+def _nucleotides():
+    """The text's letters as A, C, G and T."""
+    return F.translate(F.lower(F.regexp_replace("text", "[^A-Za-z]", "")), "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC")
+
+
+_NT = "translate(lower(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')"
+
+
 @query()
 def q_orf_scan(s, d):
     """Open reading frames of pseudo-nucleotide texts (rows only)."""
     from seqloom.operators import sequence
 
-    nt = F.translate(F.lower(F.regexp_replace("text", "[^A-Za-z]", "")), "abcdefghijklmnopqrstuvwxyz", "ACGTACGTACGTACGTACGTACGTAC")
-    return sequence.find_orfs(table(s, d, "documents").select(F.col("doc_id").cast("string").alias("id"), nt.alias("seq")), min_aa=30)
+    return sequence.find_orfs(table(s, d, "documents").select(F.col("doc_id").cast("string").alias("id"), _nucleotides().alias("seq")), min_aa=30)
 
 
 @query()
@@ -397,6 +404,35 @@ def q_fastq_scan(s, d):
     return s.read.format("fastq").option("path", f.name).load().drop("path")
 
 
+@query(f"""WITH t AS (SELECT conv_id, {_NT} AS s FROM conversations), g AS (SELECT conv_id, substr(s, i, 12) AS g FROM (SELECT conv_id, s, unnest(range(1, greatest(length(s)-10, 1))) AS i FROM t)),
+ c AS (SELECT conv_id, least(g, reverse(translate(g, 'ACGT', 'TGCA'))) AS kmer FROM g), n AS (SELECT kmer, count(*) AS n FROM c GROUP BY 1),
+ m AS (SELECT conv_id, median(n)::DOUBLE AS cov FROM c JOIN n USING (kmer) GROUP BY 1)
+ SELECT conv_id, turn FROM conversations JOIN m USING (conv_id) WHERE cov >= 2 AND ('0x' || substr(md5(conv_id::VARCHAR), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE * cov < 5""")
+def q_normalize_reads(s, d):
+    from seqloom.operators import assembly
+
+    reads = table(s, d, "conversations").select("conv_id", "turn", _nucleotides().alias("seq"))
+    return assembly.normalise_pairs(reads, 12, 2, 5, "conv_id").select("conv_id", "turn")
+
+
+@query()
+def q_assemble(s, d):
+    """Unitigs of pseudo-nucleotide texts at k = 25 (rows only; tests hold the operator against brute force)."""
+    from seqloom.operators import assembly
+
+    return assembly.unitigs(table(s, d, "benchmark").select(_nucleotides().alias("seq")), 25)
+
+
+@query("SELECT user_id::VARCHAR AS key, (count(*) // 5)::BIGINT AS n_groups FROM events GROUP BY 1 HAVING count(*) >= 5")
+def q_stream_groups(s, d):
+    from seqloom.streaming import grouping
+
+    whole = table(s, d, "events")
+    rows = s.readStream.schema(whole.schema).parquet(f"{d}/events*.parquet")  # a glob: the source takes folders or patterns
+    out = grouping.drain(grouping.group_exact_n_stream(rows, "user_id", F.col("event_id"), 5))
+    return out.groupBy("key").agg(F.count(F.lit(1)).alias("n_groups"))
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: completeness rescue at the default support of 0.70."""
     return _rescue(spark, sf_dir, 0.70)
