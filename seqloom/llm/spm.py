@@ -126,10 +126,10 @@ def build(m: Model):
 
 
 def speller(m: Model):
-    """ids -> text by joining the pieces' bytes: what the decoder must give, at the cost of a look-up."""
+    """ids -> the text's UTF-8 by joining the pieces' bytes: what the decoder must give, at the cost of a look-up."""
     table = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in m.pieces]
     skip = 1 if m.add_dummy_prefix else 0
-    return lambda ids: b"".join([table[i] for i in ids])[skip:].decode("utf-8", "replace")
+    return lambda ids: b"".join(map(table.__getitem__, ids))[skip:]
 
 
 def encode(docs: DataFrame, model_path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), verify_one_in: int = 4) -> DataFrame:
@@ -166,15 +166,19 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", keep: tuple[str
             for s in range(0, b.num_rows, 100):
                 rows = b.slice(s, 100)
                 texts = rows.column(rows.num_columns - 1).to_pylist()
+                raw = [x.encode() for x in texts]
                 ids = [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
                 same: list[bool | None] = [None] * len(texts)
                 if ref:
-                    chosen = [k for k, x in enumerate(texts) if zlib.crc32(x.encode()) % verify_one_in == 0]
+                    chosen = [k for k, x in enumerate(raw) if zlib.crc32(x) % verify_one_in == 0]
                     for k, want in zip(chosen, ref.encode([texts[k] for k in chosen], num_threads=1)):
                         same[k] = want == ids[k]
-                digest = [hashlib.sha256(np.array(x, "<u4").tobytes()).hexdigest() for x in ids]
+                flat = [np.array(x, "<i4") for x in ids]
+                digest = [hashlib.sha256(x).hexdigest() for x in flat]
+                sizes = np.array([len(x) for x in flat], np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], sizes.cumsum())), pa.int32()), pa.array(np.concatenate(flat), pa.int32()))
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns[:-1], pa.array([len(x) for x in ids], pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(digest), pa.array([spell(x) == y for x, y in zip(ids, texts)], pa.bool_()), pa.array(same, pa.bool_())],
+                    [*rows.columns[:-1], pa.array(sizes), lists, pa.array(digest), pa.array([spell(x) == y for x, y in zip(ids, raw)], pa.bool_()), pa.array(same, pa.bool_())],
                     [*keep, "n_tokens", "ids", "ids_sha256", "decoded_ok", "parity"])
 
     return plain.mapInArrow(batches, ", ".join([*fields, "n_tokens long, ids array<int>, ids_sha256 string, decoded_ok boolean, parity boolean"]))
