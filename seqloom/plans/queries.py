@@ -404,15 +404,15 @@ def q_fastq_scan(s, d):
     return s.read.format("fastq").option("path", f.name).load().drop("path")
 
 
-@query(f"""WITH t AS (SELECT conv_id, {_NT} AS s FROM conversations), g AS (SELECT conv_id, substr(s, i, 12) AS g FROM (SELECT conv_id, s, unnest(range(1, greatest(length(s)-10, 1))) AS i FROM t)),
+@query(f"""WITH t AS (SELECT conv_id, {_NT} AS s FROM conversations), g AS (SELECT conv_id, substr(s, i, 6) AS g FROM (SELECT conv_id, s, unnest(range(1, greatest(length(s)-4, 1))) AS i FROM t)),
  c AS (SELECT conv_id, least(g, reverse(translate(g, 'ACGT', 'TGCA'))) AS kmer FROM g), n AS (SELECT kmer, count(*) AS n FROM c GROUP BY 1),
  m AS (SELECT conv_id, median(n)::DOUBLE AS cov FROM c JOIN n USING (kmer) GROUP BY 1)
- SELECT conv_id, turn FROM conversations JOIN m USING (conv_id) WHERE cov >= 2 AND ('0x' || substr(md5(conv_id::VARCHAR), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE * cov < 5""")
+ SELECT conv_id, turn FROM conversations JOIN m USING (conv_id) WHERE cov >= 2 AND ('0x' || substr(md5(conv_id::VARCHAR), 1, 8))::BIGINT::DOUBLE / 4294967296.0::DOUBLE * cov < 20""")
 def q_normalize_reads(s, d):
     from seqloom.operators import assembly
 
     reads = table(s, d, "conversations").select("conv_id", "turn", _nucleotides().alias("seq"))
-    return assembly.normalise_pairs(reads, 12, 2, 5, "conv_id").select("conv_id", "turn")
+    return assembly.normalise_pairs(reads, 6, 2, 20, "conv_id").select("conv_id", "turn")
 
 
 @query()
