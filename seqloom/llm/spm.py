@@ -12,10 +12,11 @@ one by one, so ties and repeated rows do not matter; an empty table gives no row
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -97,7 +98,7 @@ def merges_of(m: Model) -> list[tuple[str, str]]:
 
 def build(m: Model):
     """A tokenizers.Tokenizer for the model."""
-    from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
+    from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
     unk = next(i for i, p in enumerate(m.pieces) if p[2] == UNKNOWN)
     if m.model_type == BPE:
@@ -117,29 +118,66 @@ def build(m: Model):
     if m.escape_whitespaces:
         steps.append(normalizers.Replace(" ", MARK))
     t.normalizer = normalizers.Sequence(steps)
-    # No piece holds a marker after another character, so no merge crosses the start of a marked
-    # word: encoding word by word is exact and lets the library cache words.
-    if all(MARK not in p.lstrip(MARK) for p, _, kind in m.pieces if kind in (NORMAL, USER)):
-        t.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
     t.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse(), *([decoders.Strip(" ", 1, 0)] if m.add_dummy_prefix else [])])
     return t
 
 
-def speller(m: Model):
-    """ids -> the text's UTF-8 by joining the pieces' bytes: what the decoder must give, at the cost of a look-up."""
-    table = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in m.pieces]
-    skip = 1 if m.add_dummy_prefix else 0
-    return lambda ids: b"".join(map(table.__getitem__, ids))[skip:]
+class Encoder:
+    """Texts to ids (little-endian 32-bit) and back to bytes; each unit met is encoded once.
 
+    If no piece holds a marker after another character, no merge and no path crosses the start of a
+    marked word, so words are units and encoding them on their own is exact; otherwise the text is its
+    only unit. A normaliser that only marks spaces is applied to units, any other to the whole text.
+    ``max_units`` bounds the memory of units; when it is reached they start anew, which changes no result.
+    """
 
-def encode(docs: DataFrame, model_path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), verify_one_in: int = 4) -> DataFrame:
+    def __init__(self, m: Model, max_units: int = 1 << 18):
+        self.tok = build(m)
+        self.normalizer, self.tok.normalizer = self.tok.normalizer, None
+        self.whole = any(MARK in p.lstrip(MARK) for p, _, kind in m.pieces if kind in (NORMAL, USER))
+        self.local = m.escape_whitespaces and not m.charsmap and not m.remove_extra_whitespaces
+        self.prefix = " " if m.add_dummy_prefix else ""
+        self.words = {mark: re.compile(f"{mark}*[^{mark}]+|{mark}+").findall for mark in (" ", MARK)}
+        self.pieces = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in m.pieces]
+        self.max_units, self.ids, self.spelt = max_units, {}, {}
+
+    def units(self, text: str) -> list[str]:
+        """Normalised units; where the normaliser is local, spaces stand for markers."""
+        if not text:
+            return []
+        if self.local and not self.whole and MARK not in text:
+            return self.words[" "](self.prefix + text)
+        x = self.normalizer.normalize_str(text)
+        return self.words[MARK](x) if not self.whole else [x] if x else []
+
+    def encode_batch(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+        units = [self.units(x) for x in texts]
+        if len(self.ids) > self.max_units:
+            self.ids, self.spelt = {}, {}
+        new = list(set().union(*units).difference(self.ids))
+        marked = [u.replace(" ", MARK) for u in new] if self.local else new
+        for u, e in zip(new, self.tok.encode_batch_fast(marked, add_special_tokens=False)):
+            ids = e.ids
+            self.ids[u] = struct.pack(f"<{len(ids)}i", *ids)
+            self.spelt[u] = b"".join(map(self.pieces.__getitem__, ids))
+        skip = len(self.prefix)
+        return [b"".join(map(self.ids.__getitem__, u)) for u in units], [b"".join(map(self.spelt.__getitem__, u))[skip:] for u in units]
+
+
+@lru_cache(1)
+def loaded(blob: bytes):
+    """The encoder and the sentencepiece processor of a model, kept by a worker from task to task."""
+    import sentencepiece
+
+    return Encoder(parse_model(blob)), sentencepiece.SentencePieceProcessor(model_proto=blob)
+
+
+def encode(docs: DataFrame, model_path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` and n_tokens, ids, ids_sha256 (little-endian 32-bit ids), decoded_ok, parity.
 
     ``model_path`` is read on the driver and shipped with the job. ``decoded_ok`` tells whether the ids
-    decode to the text itself, which a normaliser that rewrites texts may prevent. ``parity``
-    compares the ids with the sentencepiece library's own for texts whose CRC is divisible by
-    ``verify_one_in`` (1: every text), and is null for the others: a check beside the result, which
-    it does not change.
+    decode to the text itself, which a normaliser that rewrites texts may prevent. ``parity`` tells
+    whether the ids equal those the sentencepiece library gives the whole text.
     """
     spark = docs.sparkSession
     arrow_rows(spark, 500)
@@ -155,31 +193,20 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", keep: tuple[str
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         os.environ.setdefault("RAYON_NUM_THREADS", "2")
-        model = parse_model(shipped.value)
-        tok, spell = build(model), speller(model)
-        ref = None
-        if verify_one_in:
-            import sentencepiece
-
-            ref = sentencepiece.SentencePieceProcessor(model_proto=shipped.value)
-        for b in it:
-            for s in range(0, b.num_rows, 100):
-                rows = b.slice(s, 100)
-                texts = rows.column(rows.num_columns - 1).to_pylist()
-                raw = [x.encode() for x in texts]
-                ids = [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
-                same: list[bool | None] = [None] * len(texts)
-                if ref:
-                    chosen = [k for k, x in enumerate(raw) if zlib.crc32(x) % verify_one_in == 0]
-                    for k, want in zip(chosen, ref.encode([texts[k] for k in chosen], num_threads=1)):
-                        same[k] = want == ids[k]
-                flat = [np.array(x, "<i4") for x in ids]
-                digest = [hashlib.sha256(x).hexdigest() for x in flat]
-                sizes = np.array([len(x) for x in flat], np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], sizes.cumsum())), pa.int32()), pa.array(np.concatenate(flat), pa.int32()))
-                yield pa.RecordBatch.from_arrays(
-                    [*rows.columns[:-1], pa.array(sizes), lists, pa.array(digest), pa.array([spell(x) == y for x, y in zip(ids, raw)], pa.bool_()), pa.array(same, pa.bool_())],
-                    [*keep, "n_tokens", "ids", "ids_sha256", "decoded_ok", "parity"])
+        coder, ref = loaded(shipped.value)
+        for rows in it:
+            texts = rows.column(rows.num_columns - 1).to_pylist()
+            ids, spelt = coder.encode_batch(texts)
+            same = []
+            for s in range(0, len(texts), 50):
+                same += [np.array(want, "<i4").tobytes() == got for want, got in zip(ref.encode(texts[s:s + 50], num_threads=1), ids[s:s + 50])]
+            sizes = np.array([len(x) // 4 for x in ids], np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], sizes.cumsum())), pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32()))
+            digest = [hashlib.sha256(x).hexdigest() for x in ids]
+            back = [x == y.encode() for x, y in zip(spelt, texts)]
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns[:-1], pa.array(sizes), lists, pa.array(digest, pa.string()), pa.array(back, pa.bool_()), pa.array(same, pa.bool_())],
+                [*keep, "n_tokens", "ids", "ids_sha256", "decoded_ok", "parity"])
 
     return plain.mapInArrow(batches, ", ".join([*fields, "n_tokens long, ids array<int>, ids_sha256 string, decoded_ok boolean, parity boolean"]))
 
