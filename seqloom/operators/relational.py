@@ -101,9 +101,34 @@ def cap_per_key(df: DataFrame, key: str, order: list[str], least: int, most: int
     return df.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_r", F.row_number().over(w.orderBy(*order))).where(f"_n >= {least} AND _r <= {most}").drop("_n", "_r")
 
 
-def partition_by_match(df: DataFrame, probes: DataFrame, condition: Column, key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows that match any probe, and the others."""
-    hit = df.join(probes, condition, "left_semi").select(key)
+def contained_in(df: DataFrame, key: str, text: str, probes: DataFrame, probe: str, anchor: int = 6) -> DataFrame:
+    """Keys of the rows whose text contains any probe as a substring, each once.
+
+    Where a probe occurs in a text, the words inside it (all but the first and last, which the text may
+    extend) are words of the text. So ``anchor`` inner words of a probe are looked up among the text's
+    windows by hash, and only the rows found are compared. Probes with fewer inner words have no
+    anchor and are compared with every row. Null texts and null probes match nothing.
+    """
+    p = probes.select(F.col(probe).alias("_p")).where("_p IS NOT NULL").distinct()
+    inner = F.split("_p", " ", -1)
+    anchored = p.where(F.size(inner) >= anchor + 2).select("_p", F.xxhash64(F.slice(inner, 2, anchor)).alias("_a"))
+    rows = df.select(F.col(key), F.col(text).alias("_t"))
+    words = rows.select(key, F.split("_t", " ", -1).alias("_w")).where(F.size("_w") >= anchor)
+    windows = F.transform(F.sequence(F.lit(1), F.size("_w") - anchor + 1), lambda i: F.xxhash64(F.slice("_w", i, anchor)))
+    found = words.select(key, F.explode(F.array_distinct(windows)).alias("_a")).join(anchored, "_a").select(key, "_p")
+    inside = F.contains("_t", "_p")
+    by_anchor = rows.join(found, key).where(inside).select(key)
+    by_scan = rows.join(p.where(F.size(inner) < anchor + 2), inside, "left_semi").select(key)
+    return by_anchor.unionAll(by_scan).distinct()
+
+
+def flag_match(df: DataFrame, hit: DataFrame, key: str) -> DataFrame:
+    """All rows, with ``matched`` telling whether the key is among ``hit``, whose keys are distinct."""
+    return df.join(hit.select(key, F.lit(True).alias("matched")), key, "left").withColumn("matched", F.coalesce("matched", F.lit(False)))
+
+
+def partition_by_match(df: DataFrame, hit: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key is among ``hit``, and the others."""
     return df.join(hit, key, "left_semi"), df.join(hit, key, "left_anti")
 
 

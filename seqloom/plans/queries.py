@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -309,9 +310,8 @@ def q_manifest_lookup(s, d):
 
 @query("SELECT doc_id, EXISTS (SELECT 1 FROM benchmark b WHERE contains(documents.text, b.text)) AS matched FROM documents")
 def q_partition_semi_anti(s, d):
-    docs, b = table(s, d, "documents").select("doc_id", "text"), table(s, d, "benchmark").select(F.col("text").alias("probe"))
-    hit, rest = R.partition_by_match(docs, b, F.expr("contains(text, probe)"), "doc_id")
-    return hit.select("doc_id", F.lit(True).alias("matched")).unionAll(rest.select("doc_id", F.lit(False).alias("matched")))
+    docs = table(s, d, "documents").select("doc_id", "text")
+    return R.flag_match(docs.select("doc_id"), R.contained_in(docs, "doc_id", "text", table(s, d, "benchmark"), "text"), "doc_id")
 
 
 @query("SELECT event_id, user_id FROM (SELECT *, count(*) OVER (PARTITION BY user_id) AS n, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r FROM events) WHERE n>=60 AND r<=70")
@@ -395,13 +395,12 @@ def q_dedup_near(s, d):
 @query()
 def q_fastq_scan(s, d):
     """A FASTQ file made from the data, read back by the data source (rows only)."""
-    import tempfile
+    from seqloom.operators.shuffle import checkpoint_dir
 
     s.dataSource.register(readers.FastqSource)
-    n = [r[0] for r in table(s, d, "region").select("r_name").orderBy("r_regionkey").collect()]
-    with tempfile.NamedTemporaryFile("w", suffix=".fastq", delete=False) as f:
-        f.writelines(f"@{x}/1\nACGT\n+\n@III\n" for x in n)
-    return s.read.format("fastq").option("path", f.name).load().drop("path")
+    path = f"{checkpoint_dir(s)}/fastq-{uuid.uuid4().hex}"
+    table(s, d, "region").select(F.concat(F.lit("@"), "r_name", F.lit("/1\nACGT\n+\n@III"))).write.text(path)
+    return s.read.format("fastq").option("path", f"{path}/part-*").load().drop("path")
 
 
 @query(f"""WITH t AS (SELECT conv_id, {_NT} AS s FROM conversations), g AS (SELECT conv_id, substr(s, i, 6) AS g FROM (SELECT conv_id, s, unnest(range(1, greatest(length(s)-4, 1))) AS i FROM t)),

@@ -53,14 +53,16 @@ class _Fastq(DataSourceReader):
         return [InputPartition(p) for p in self.paths]
 
     def read(self, partition):
-        import gzip
+        import io
 
-        name = partition.value
-        with (gzip.open if name.endswith(".gz") else open)(name, "rt") as f:
+        from pyarrow import fs
+
+        store, name = fs.FileSystem.from_uri(partition.value)
+        with store.open_input_stream(name) as raw, io.TextIOWrapper(io.BufferedReader(raw, 1 << 20), "utf-8") as f:  # gz by its suffix
             no = 0
             while head := f.readline():
                 seq, _, qual = f.readline(), f.readline(), f.readline()
-                yield no, head[1:].split()[0], seq.rstrip("\n"), qual.rstrip("\n"), name
+                yield no, head[1:].split()[0], seq.rstrip("\n"), qual.rstrip("\n"), partition.value
                 no += 1
 
 
@@ -75,6 +77,14 @@ class FastqSource(DataSource):
         return "pair_no bigint, read_id string, seq string, qual string, path string"
 
     def reader(self, schema):
-        import glob
+        import os
+        from fnmatch import fnmatch
+
+        from pyarrow import fs
 
-        return _Fastq(sorted(glob.glob(self.options["path"])))
+        # Any store that Arrow knows: a local path, file://, hdfs://, s3://, gs://; a pattern in the last part.
+        path = self.options["path"]
+        folder, _, pattern = (path if "://" in path or path.startswith("file:") else os.path.abspath(path)).rpartition("/")
+        store, inside = fs.FileSystem.from_uri(folder)
+        files = store.get_file_info(fs.FileSelector(inside))
+        return _Fastq(sorted(f"{folder}/{f.base_name}" for f in files if f.is_file and fnmatch(f.base_name, pattern)))
