@@ -351,9 +351,11 @@ def q_mapping_rate(s, d):
     return m.withColumn("rate", F.round(F.col("matched") / F.col("total"), 6))
 
 
-@query()
+@query("""WITH c AS (SELECT doc_id, string_split(text, '') AS c FROM documents WHERE length(text) >= 4), p AS (SELECT doc_id, c, unnest(range(1, len(c) - 2)) AS i FROM c)
+ SELECT doc_id AS id, i::INTEGER AS pos, score FROM (SELECT doc_id, i, ((c[i]='e')::INT + (c[i+1]='r')::INT + (c[i+2]='t')::INT + (c[i+3]='h')::INT)::DOUBLE * 1.5::DOUBLE - 2.0::DOUBLE AS score FROM p)
+ QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i)=1""")
 def q_profile_scan(s, d):
-    """Best place and score of a small position weight profile in each text (rows only)."""
+    """Best place and score of a small position weight profile in each text."""
     from seqloom.operators import sequence
 
     return sequence.profile_scan(table(s, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("seq")), "erth")
@@ -392,15 +394,15 @@ def q_dedup_near(s, d):
     return sequence.minhash_pairs(table(s, d, "documents").select(F.col("doc_id").alias("id"), "text"))
 
 
-@query()
+@query("SELECT string_split(r_name || '/1', ' ')[1] AS read_id, 'ACGT' AS seq, '@III' AS qual FROM region")
 def q_fastq_scan(s, d):
-    """A FASTQ file made from the data, read back by the data source (rows only)."""
+    """FASTQ files made from the data, read back by the data source."""
     from seqloom.operators.shuffle import checkpoint_dir
 
     s.dataSource.register(readers.FastqSource)
     path = f"{checkpoint_dir(s)}/fastq-{uuid.uuid4().hex}"
     table(s, d, "region").select(F.concat(F.lit("@"), "r_name", F.lit("/1\nACGT\n+\n@III"))).write.text(path)
-    return s.read.format("fastq").option("path", f"{path}/part-*").load().drop("path")
+    return s.read.format("fastq").option("path", f"{path}/part-*").load().drop("path", "pair_no")
 
 
 @query(f"""WITH t AS (SELECT conv_id, {_NT} AS s FROM conversations), g AS (SELECT conv_id, substr(s, i, 6) AS g FROM (SELECT conv_id, s, unnest(range(1, greatest(length(s)-4, 1))) AS i FROM t)),
