@@ -5,7 +5,8 @@ fingerprint is keyed by blocks of its bits, so that close pairs share a key; mem
 joined and their Hamming distance is verified. A key with many distinct members is not expanded
 into pairs: at radius 2 or less every member is keyed by its one-bit variants, whose groups lie
 within distance 2 of each other by construction (linear, exact); at wider radii its members are
-compared in square tiles that return spanning links only. Components are found distributed.
+compared in square tiles that return spanning links only. Radii too wide for guaranteed blocks use
+a fixed plan of many keys, the same at every size. Components are found distributed.
 
 Defined results: a text without words has fingerprint zero and links like any other; a null id
 takes part in a component through its fingerprint but cannot name one; repeated rows share a
@@ -15,7 +16,6 @@ component; an empty table gives no row.
 from __future__ import annotations
 
 import itertools
-import math
 import random
 from collections.abc import Iterator
 
@@ -31,6 +31,10 @@ PAIRED_MEMBERS = 32
 TILE = 512
 #: Up to this radius keys are guaranteed blocks; beyond it they would be too narrow.
 GUARANTEED_RADIUS = 4
+#: Keys at wider radii, fixed: of 128 bits, a pair 20 apart shares one with probability 0.97.
+WIDE_KEYS, WIDE_BITS = 320, 24
+#: (key, n) rows that may be broadcast: 16 bytes each.
+BROADCAST_KEYS = 500_000
 
 
 def text_fingerprint(text: bytes | None, words: int, seeds: tuple[int, ...]) -> list[int]:
@@ -89,15 +93,10 @@ def block_keys(bits: int, radius: int, keys: int | None = None, key_bits: int =
     return out[:keys]
 
 
-def wide_plan(n: int, bits: int, near: int = 14, recall: float = 0.98, spare: int = 6) -> list[list[int]]:
-    """Keys for wide radii over n distinct fingerprints.
-
-    Keys are log2(n) + spare bits wide, so that a key holds 2^-spare strangers on average at every
-    size, and as many as give a pair ``near`` bits apart the stated chance of sharing one.
-    """
-    width = min(60, max(16, math.ceil(math.log2(max(n, 2))) + spare))
-    share = math.comb(bits - near, width) / math.comb(bits, width)
-    return block_keys(bits, 0, math.ceil(math.log(1 - recall) / math.log(1 - share)), width)
+def wide_plan(bits: int) -> list[list[int]]:
+    """Keys for wide radii: the same WIDE_KEYS keys of WIDE_BITS bits at every size of corpus, so that
+    whether a pair is found depends on its own two fingerprints only. See the README for the recall."""
+    return block_keys(bits, 0, WIDE_KEYS, WIDE_BITS)
 
 
 def _keyed(distinct: DataFrame, plan: list[list[int]]) -> DataFrame:
@@ -155,11 +154,60 @@ def hamming_links(distinct: DataFrame, bits: int, radius: int, plan: list[list[i
         return links
     if radius <= 2 and words == 1:
         return links.union(_variant_links(large.select("id", F.col("fp")[0].alias("fp")).distinct(), radius))
+    return links.union(_large_links(large, radius))
+
+
+def _large_links(large: DataFrame, radius: int) -> DataFrame:
+    """Spanning links within each key of large(k, key, n, id, fp), compared in square tiles."""
     tiles = F.ceil(F.col("n") / TILE).cast("int")
     own = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
     dealt = large.withColumn("tiles", tiles).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     dealt = dealt.select("k", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "fp").distinct()
-    return links.union(dealt.groupBy("k", "key", "i", "j").applyInPandas(_tile_links(radius), "src long, dst long"))
+    return dealt.groupBy("k", "key", "i", "j").applyInPandas(_tile_links(radius), "src long, dst long")
+
+
+def _numbered(distinct: DataFrame, plan: list[list[int]]) -> DataFrame:
+    """(key, id): the keys of each fingerprint as one number, the key's place in the plan above its bits."""
+    places, width = np.array(plan), len(plan[0])
+
+    def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            if not len(b):
+                continue
+            fp = np.array(b.column(1).to_pylist(), np.int64)
+            on = np.unpackbits(fp.view(np.uint8).reshape(len(fp), -1), axis=1, bitorder="little")
+            for at in range(0, len(plan), 64):
+                part = places[at:at + 64]
+                packed = np.packbits(on[:, part], axis=2, bitorder="little")
+                key = np.zeros((len(fp), len(part), 8), np.uint8)
+                key[:, :, :packed.shape[2]] = packed
+                key = key.view(np.int64)[:, :, 0] + (np.arange(at, at + len(part), dtype=np.int64) << width)
+                yield pa.RecordBatch.from_arrays([pa.array(key.T.ravel()), pa.array(np.tile(b.column(0).to_numpy(), len(part)))], ["key", "id"])
+
+    return distinct.select("id", "fp").mapInArrow(batches, "key long, id long")
+
+
+def wide_links(distinct: DataFrame, bits: int, radius: int, plan: list[list[int]]) -> DataFrame:
+    """As hamming_links, for plans of hundreds of keys: keys are counted before anything is joined.
+
+    One exchange of (key, id) gives each shared key's count, least and greatest id. A key of two members
+    is a pair as it stands; only keys of three or more are looked up again.
+    """
+    keyed = _numbered(distinct, plan)
+    groups = store(keyed.repartition("key").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).where("n > 1"))
+    hot = groups.where("n > 2").select("key", "n")
+    few = hot.count() <= BROADCAST_KEYS
+    shared = store((keyed.join(F.broadcast(hot), "key") if few else skew_join(keyed, hot, ["key"])).select("key", "n", "id"))
+    small, large = shared.where(f"n <= {PAIRED_MEMBERS}").select("key", "id"), shared.where(f"n > {PAIRED_MEMBERS}")
+    met = small.alias("x").join(small.alias("y"), F.expr("x.key = y.key AND x.id < y.id")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    pairs = store(groups.where("n = 2 AND a < b").select("a", "b").union(met).distinct())
+    side = lambda c: distinct.select(F.col("id").alias(c), F.col("fp").alias(f"f{c}"))
+    both = skew_join(skew_join(pairs, side("a"), ["a"]), side("b"), ["b"])
+    distance = " + ".join(f"bit_count(fa[{i}] ^ fb[{i}])" for i in range(bits // 64))
+    links = both.where(F.expr(f"{distance} <= {radius}")).select(F.col("a").alias("src"), F.col("b").alias("dst"))
+    if large.isEmpty():
+        return links
+    return links.union(_large_links(skew_join(large, distinct.select("id", "fp"), ["id"]).withColumn("k", F.lit(0)), radius))
 
 
 def _variant_links(members: DataFrame, radius: int) -> DataFrame:
@@ -175,9 +223,11 @@ def components(fps: DataFrame, bits: int, radius: int, plan: list[list[int]] | N
     """(doc_id, fp, component_id) for ``fps(doc_id, fp)``: the smallest id reachable by links within the radius."""
     fps = store(fps)
     distinct = store(fps.groupBy("fp").agg(F.min("doc_id").alias("id")))
-    if plan is None:
-        plan = block_keys(bits, radius) if radius <= GUARANTEED_RADIUS else wide_plan(distinct.count(), bits)
-    links = hamming_links(distinct.where("id IS NOT NULL"), bits, radius, plan)
+    known = distinct.where("id IS NOT NULL")
+    if plan is None and radius > GUARANTEED_RADIUS:
+        links = wide_links(known, bits, radius, wide_plan(bits))
+    else:
+        links = hamming_links(known, bits, radius, plan or block_keys(bits, radius))
     # One id on several texts is one document: its fingerprints are linked through it.
     again = fps.join(distinct, "fp").where("doc_id <> id").select(F.col("doc_id").alias("src"), F.col("id").alias("dst"))
     shared = fps.groupBy("doc_id").agg(F.count_distinct("fp").alias("n")).where("n > 1").select("doc_id")
