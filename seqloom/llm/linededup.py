@@ -2,13 +2,15 @@
 
 The tree has fixed depth: a line's leaf is its token count and its leading tokens, with tokens that
 hold a digit masked. Lines of a leaf with the same masked form share a template outright. Forms
-that differ are generalised: a token that too few documents have at its place is a variable field,
-and forms that agree on everything else share a template, if enough of it is constant. All of it is
-counted with map-side aggregates by (leaf, place, token), so a hot leaf costs no task more than
-another and the result depends on no order.
+that differ are generalised: a token that fewer than FIELD_DOCS documents have at its place is a
+variable field, and forms that agree on everything else share a template, if enough of it is
+constant. Long forms that find no partner so are tried again with tokens of two documents as
+constants. All of it is counted with map-side aggregates by (leaf, place, token), so a hot leaf costs
+no task more than another and the result depends on no order.
 
-A template found in ``min_docs`` documents or more recurs; its lines are dropped from all documents
-but the first (the smallest id), which keeps the passage once in the corpus.
+A template of LONG_TOKENS words or more recurs when ``min_docs`` documents have it, a shorter one
+when ``short_docs`` have it; its lines are dropped from all documents but the first (the smallest
+id), which keeps the passage once in the corpus.
 
 Defined results: a null text has no lines and stays null; lines with fewer than ``min_tokens``
 words are never dropped; a row is identified by its id and text, so repeated rows count as one
@@ -25,8 +27,10 @@ from .common import SPACE, discard, skew_join, store
 
 #: Leading tokens that name a leaf beside the token count.
 DEPTH = 3
-#: Tokens from which forms are generalised, and the share of a template that must be constant.
-GENERAL_TOKENS, CONSTANT = 8, 0.75
+#: Documents that make a token a constant, and the share of a template that must be constant.
+FIELD_DOCS, CONSTANT = 3, 0.75
+#: Tokens from which a line is long.
+LONG_TOKENS = 8
 #: (leaf) rows that may be broadcast: 8 bytes each.
 BROADCAST_LEAVES = 500_000
 
@@ -49,43 +53,54 @@ def _lines(docs: DataFrame, min_tokens: int) -> DataFrame:
     return lines.withColumn("leaf", F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)))
 
 
-def dropped_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_docs: int = 2, min_tokens: int = 3, short_docs: int = 3) -> DataFrame:
     """(r1, r2, line_no) of the lines to drop; r1 and r2 identify the row (see row_key)."""
+    support = f"CASE WHEN n >= {LONG_TOKENS} THEN {min_docs} ELSE {short_docs} END"
     lines = _lines(docs, min_tokens)
     narrow = store(lines.select("r1", "r2", "doc_id", "line_no", "leaf", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("t1"), F.xxhash64(F.lit(1), "tokens").alias("t2")))
     holder = F.struct("doc_id", "r1", "r2")
     once = narrow.groupBy("t1", "t2", "r1", "r2").agg(F.first("doc_id").alias("doc_id"), F.first("leaf").alias("leaf"), F.first("n").alias("n"))
     forms = store(once.groupBy("t1", "t2").agg(F.first("leaf").alias("leaf"), F.first("n").alias("n"), F.count(F.lit(1)).alias("docs"), F.min(holder).alias("holder")))
-    # Leaves in which generalising can change anything: several forms, one of them not yet recurring.
-    leaves = forms.where(f"n >= {GENERAL_TOKENS}").groupBy("leaf").agg(F.sum("docs").alias("d"), F.count(F.lit(1)).alias("f"), F.min("docs").alias("least"))
-    leaves = store(leaves.where(f"d >= {min_docs} AND f > 1 AND least < {min_docs}").select("leaf"))
-    mixed = lines.where(F.size("tokens") >= GENERAL_TOKENS).select("leaf", "tokens")
+    # Leaves in which generalising can change anything: several forms, one of them rare. Where every form has
+    # FIELD_DOCS documents, so has every token at its place, and each form is its own template.
+    leaves = forms.where(f"n >= {LONG_TOKENS}").groupBy("leaf").agg(F.first("n").alias("n"), F.sum("docs").alias("d"), F.count(F.lit(1)).alias("f"), F.min("docs").alias("least"))
+    leaves = store(leaves.where(f"d >= {support} AND f > 1 AND least < {FIELD_DOCS}").select("leaf"))
+    mixed = lines.where(F.size("tokens") >= LONG_TOKENS).select("leaf", "tokens")
     mixed = mixed.join(F.broadcast(leaves), "leaf") if leaves.count() <= BROADCAST_LEAVES else skew_join(mixed, leaves, ["leaf"])
     mixed = mixed.withColumn("t1", F.xxhash64("tokens")).withColumn("t2", F.xxhash64(F.lit(1), "tokens"))
     mixed = mixed.groupBy("t1", "t2").agg(F.first("tokens").alias("tokens"))
     mixed = skew_join(mixed, forms, ["t1", "t2"]).select("t1", "t2", "leaf", "n", "docs", "holder", F.posexplode("tokens").alias("place", "token"))
     places = store(mixed.where(f"place >= {DEPTH}").withColumn("token", F.xxhash64("token")))
-    common = places.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("s")).where(f"s >= {min_docs}").select("leaf", "place", "token", F.lit(1).alias("same"))
+    common = places.groupBy("leaf", "place", "token").agg(F.sum("docs").alias("s")).where("s >= 2").select("leaf", "place", "token", "s")
     marked = skew_join(places, common, ["leaf", "place", "token"], "left")
-    # The template's name: a sum of hashes of its constants, in any order; two sums make 128 bits.
-    wide = lambda *c: F.sum(F.when(F.col("same") == 1, F.xxhash64(*c)).otherwise(0).cast("decimal(38,0)"))
-    shapes = marked.groupBy("t1", "t2").agg(F.first("leaf").alias("leaf"), F.first("n").alias("n"), F.first("docs").alias("docs"), F.first("holder").alias("holder"), F.count("same").alias("same"),
-                                            wide("place", "token").alias("g1"), wide("token", F.lit(7), "place").alias("g2"))
-    shapes = shapes.where(f"same + {DEPTH} >= {CONSTANT} * n")
-    general = shapes.groupBy("leaf", "g1", "g2").agg(F.sum("docs").alias("all_docs"), F.min("holder").alias("first")).where(f"all_docs >= {min_docs}")
-    general = store(skew_join(shapes.select("t1", "t2", "leaf", "g1", "g2"), general, ["leaf", "g1", "g2"]).select("t1", "t2", "first"))
-    plain = forms.where(f"docs >= {min_docs}").join(general.select("t1", "t2"), ["t1", "t2"], "left_anti").select("t1", "t2", F.col("holder").alias("first"))
+    # The template's name: hashes of its constants, in any order; two of them make 128 bits.
+    named = lambda s, *c: F.bit_xor(F.when(F.col("s") >= s, F.xxhash64(*c)).otherwise(0))
+    per = [x for s in (FIELD_DOCS, 2) for x in (F.sum((F.col("s") >= s).cast("int")).alias(f"same{s}"), named(s, "place", "token").alias(f"g{s}"), named(s, "token", F.lit(7), "place").alias(f"h{s}"))]
+    shapes = store(marked.groupBy("t1", "t2").agg(F.first("leaf").alias("leaf"), F.first("n").alias("n"), F.first("docs").alias("docs"), F.first("holder").alias("holder"), *per))
+
+    def merged(rows: DataFrame, s: int) -> DataFrame:
+        """t1, t2, first of the forms whose template with constants of s documents recurs."""
+        rows = rows.where(f"coalesce(same{s}, 0) + {DEPTH} >= {CONSTANT} * n").select("t1", "t2", "leaf", "n", "docs", "holder", F.col(f"g{s}").alias("g"), F.col(f"h{s}").alias("h"))
+        kinds = rows.groupBy("leaf", "g", "h").agg(F.sum("docs").alias("all_docs"), F.min("holder").alias("first"), F.first("n").alias("n"), F.count(F.lit(1)).alias("f")).where(f"all_docs >= {support}")
+        return skew_join(rows.drop("n"), kinds, ["leaf", "g", "h"]).select("t1", "t2", "first", "f")
+
+    wide = store(merged(shapes, FIELD_DOCS))
+    # A long form left alone by that is tried with tokens of two documents as constants.
+    alone = shapes.where(f"n >= {LONG_TOKENS}").join(wide.where("f > 1"), ["t1", "t2"], "left_anti")
+    close = store(merged(alone, 2).where("f > 1"))
+    general = wide.join(close, ["t1", "t2"], "left_anti").union(close).select("t1", "t2", "first")
+    plain = forms.where(f"docs >= {support}").join(general.select("t1", "t2"), ["t1", "t2"], "left_anti").select("t1", "t2", F.col("holder").alias("first"))
     recurring = store(plain.union(general))
     hit = skew_join(narrow, recurring, ["t1", "t2"]).where("r1 <> first.r1 OR r2 <> first.r2")
     out = store(hit.select("r1", "r2", "line_no").distinct())
-    for frame in (narrow, forms, leaves, places, general, recurring):
+    for frame in (narrow, forms, leaves, places, shapes, wide, close, recurring):
         discard(frame)
     return out
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = 3, min_tokens: int = 3) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = 2, min_tokens: int = 3, short_docs: int = 3) -> DataFrame:
     """``docs`` with the text that is left, and n_lines and n_dropped."""
-    gone = dropped_lines(docs, min_docs, min_tokens).groupBy("r1", "r2").agg(F.collect_list("line_no").alias("_gone"))  # bounded by one text's lines
+    gone = dropped_lines(docs, min_docs, min_tokens, short_docs).groupBy("r1", "r2").agg(F.collect_list("line_no").alias("_gone"))  # bounded by one text's lines
     keep = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     keyed = docs.select("doc_id", "text", F.struct(*keep).alias("_row"), *row_key())
     both = skew_join(keyed, gone, ["r1", "r2"], "left").withColumn("_lines", F.split("text", "\n"))

@@ -2,7 +2,7 @@
 
 import random
 
-from seqloom.llm import neardup
+from seqloom.llm import linededup, neardup
 
 
 def _planted(rng, bits, distance):
@@ -36,3 +36,15 @@ def test_wide_radius_compares_members_of_large_keys(spark):
     fps = list({centre ^ (1 << rng.randrange(128)) ^ (1 << rng.randrange(128)) for _ in range(60)})
     frame = spark.createDataFrame([(i, _signed(f)) for i, f in enumerate(fps)], "doc_id long, fp array<long>")
     assert {r.component_id for r in neardup.components(frame, 128, 24).collect()} == {0}
+
+
+def _dropped(spark, texts):
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return {r.doc_id: r.n_dropped for r in linededup.dedup_lines(frame).collect()}
+
+
+def test_long_line_of_two_documents_recurs(spark):
+    words = " ".join(f"word{c}" for c in "abcdefghijklmnopqrstuvwxyz")
+    assert _dropped(spark, [f"own first\n{words}", f"{words}\nown second", words + " more"]) == {0: 0, 1: 1, 2: 0}
+    # Two copies with one word changed share a template as well; a short line needs three documents.
+    assert _dropped(spark, [words, words.replace("wordm", "other"), "see you soon then", "see you soon then"]) == {0: 0, 1: 1, 2: 0, 3: 0}
