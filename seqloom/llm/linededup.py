@@ -63,9 +63,9 @@ def dropped_lines(docs: DataFrame, min_docs: int = 2, min_tokens: int = 3, short
     forms = store(once.groupBy("t1", "t2").agg(F.first("leaf").alias("leaf"), F.first("n").alias("n"), F.count(F.lit(1)).alias("docs"), F.min(holder).alias("holder")))
     # Leaves in which generalising can change anything: several forms, one of them rare. Where every form has
     # FIELD_DOCS documents, so has every token at its place, and each form is its own template.
-    leaves = forms.where(f"n >= {LONG_TOKENS}").groupBy("leaf").agg(F.first("n").alias("n"), F.sum("docs").alias("d"), F.count(F.lit(1)).alias("f"), F.min("docs").alias("least"))
+    leaves = forms.groupBy("leaf").agg(F.first("n").alias("n"), F.sum("docs").alias("d"), F.count(F.lit(1)).alias("f"), F.min("docs").alias("least"))
     leaves = store(leaves.where(f"d >= {support} AND f > 1 AND least < {FIELD_DOCS}").select("leaf"))
-    mixed = lines.where(F.size("tokens") >= LONG_TOKENS).select("leaf", "tokens")
+    mixed = lines.where(F.size("tokens") > DEPTH).select("leaf", "tokens")
     mixed = mixed.join(F.broadcast(leaves), "leaf") if leaves.count() <= BROADCAST_LEAVES else skew_join(mixed, leaves, ["leaf"])
     mixed = mixed.withColumn("t1", F.xxhash64("tokens")).withColumn("t2", F.xxhash64(F.lit(1), "tokens"))
     mixed = mixed.groupBy("t1", "t2").agg(F.first("tokens").alias("tokens"))

@@ -48,3 +48,16 @@ def test_long_line_of_two_documents_recurs(spark):
     assert _dropped(spark, [f"own first\n{words}", f"{words}\nown second", words + " more"]) == {0: 0, 1: 1, 2: 0}
     # Two copies with one word changed share a template as well; a short line needs three documents.
     assert _dropped(spark, [words, words.replace("wordm", "other"), "see you soon then", "see you soon then"]) == {0: 0, 1: 1, 2: 0, 3: 0}
+
+
+def test_short_template_with_a_field_recurs(spark):
+    names = ["anna", "bert", "carl", "dora"]
+    assert _dropped(spark, [f"Posted by the user {n} today" for n in names]) == {0: 0, 1: 1, 2: 1, 3: 1}
+
+
+def test_a_rare_form_changes_nothing_for_the_others(spark):
+    texts = [f"Posted by the user {n} today" for n in ("anna", "bert") for _ in range(3)]
+    texts = [f"{t}\nnote {k}" for k, t in enumerate(texts)]
+    want = {0: 0, 1: 1, 2: 1, 3: 0, 4: 1, 5: 1}
+    assert _dropped(spark, texts) == want
+    assert _dropped(spark, texts + ["Posted by the user carl today"]) == want | {6: 0}
