@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from seqloom.functions.text import chars
 
+from .shuffle import cut
+
 #: The standard genetic code in TCAG order (fixed values).
 BASES, AMINO = "TCAG", "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 CODON = {a + b + c: AMINO[16 * i + 4 * j + k] for i, a in enumerate(BASES) for j, b in enumerate(BASES) for k, c in enumerate(BASES)}
@@ -57,21 +59,27 @@ def profile_scan(df: DataFrame, consensus: str, match: float = 1.0, mismatch: fl
 
 
 def minhash_pairs(df: DataFrame, shingle: int = 5, rows: int = 4, bands: int = 16, least: float = 0.8) -> DataFrame:
-    """Pairs (a, b, similarity) of (id, text) whose MinHash signatures agree on a band and on a share of rows."""
+    """Pairs (a, b, similarity) of (id, text) whose shingle sets have a Jaccard similarity of ``least`` or more.
+
+    MinHash bands give candidates only; the similarity is that of the sets (of 64-bit hashes of shingles).
+    A text with fewer words than a shingle has one, the whole text; a text without words has no pair.
+    """
     n = rows * bands
     words = F.array_remove(F.split(F.lower("text"), r"\s+"), "")
-    sets = df.select("id", words.alias("w")).where(F.size("w") >= shingle)
-    sets = sets.select("id", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - shingle + 1), lambda i: F.array_join(F.slice("w", i, shingle), " "))).alias("g")).distinct()
-    sig = sets.groupBy("id").agg(*[F.min(F.xxhash64(F.lit(i), "g")).alias(f"h{i}") for i in range(n)]).select("id", F.array(*[f"h{i}" for i in range(n)]).alias("sig"))
-    # Equal signatures collapse to their least id first, so copies do not square a band.
-    rep = sig.groupBy("sig").agg(F.min("id").alias("rep"))
-    copies = sig.join(rep, "sig").where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
-    keyed = rep.select("rep", "sig", F.posexplode(F.array(*[F.xxhash64(*[F.col("sig")[b * rows + r] for r in range(rows)]) for b in range(bands)])).alias("band", "key"))
-    same = F.aggregate(F.zip_with("x.sig", "y.sig", lambda p, q: (p == q).cast("int")), F.lit(0), lambda a, v: a + v) / n
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - shingle + 1, F.lit(1))), lambda i: F.xxhash64(F.array_join(F.slice("w", i, shingle), " ")))
+    sets = cut(df.select("id", words.alias("w")).where(F.size("w") > 0).select("id", F.sort_array(F.array_distinct(grams)).alias("set")))
+    # Equal sets collapse to their least id first, so copies do not square a band.
+    rep = cut(sets.groupBy("set").agg(F.min("id").alias("rep")))
+    copies = sets.join(rep, "set").where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"), F.lit(1.0).alias("similarity"))
+    sig = rep.select("rep", F.explode("set").alias("g")).groupBy("rep").agg(*[F.min(F.xxhash64(F.lit(i), "g")).alias(f"h{i}") for i in range(n)])
+    keyed = sig.select("rep", F.posexplode(F.array(*[F.xxhash64(*[F.col(f"h{b * rows + r}") for r in range(rows)]) for b in range(bands)])).alias("band", "key"))
     x, y = keyed.alias("x"), keyed.alias("y")
-    pairs = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")))
-    pairs = pairs.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), same.alias("similarity")).where(F.col("similarity") >= least).distinct()
-    return pairs.unionAll(copies)
+    met = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")))
+    met = met.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+    side = lambda c: rep.select(F.col("rep").alias(c), F.col("set").alias(f"s{c}"))
+    both = F.size(F.array_intersect("sa", "sb"))
+    pairs = met.join(side("a"), "a").join(side("b"), "b").select("a", "b", (both / (F.size("sa") + F.size("sb") - both)).alias("similarity"))
+    return pairs.where(F.col("similarity") >= least).unionAll(copies)
 
 
 def species_split(df: DataFrame, k: int = 4, features: int = 1024) -> DataFrame:

@@ -388,7 +388,7 @@ def q_species_split(s, d):
 
 @query()
 def q_dedup_near(s, d):
-    """MinHash band pairs of texts with their estimated similarity (rows only)."""
+    """Pairs of texts by MinHash bands, with the similarity of their shingle sets (rows only)."""
     from seqloom.operators import sequence
 
     return sequence.minhash_pairs(table(s, d, "documents").select(F.col("doc_id").alias("id"), "text"))
