@@ -83,13 +83,16 @@ def minhash_pairs(df: DataFrame, shingle: int = 5, rows: int = 4, bands: int = 1
 
 
 def species_split(df: DataFrame, k: int = 4, features: int = 1024) -> DataFrame:
-    """doc_id, label, prediction of a linear SVM on hashed k-mer counts of (doc_id, text, label)."""
+    """doc_id, label, prediction of a linear SVM on hashed k-mer counts for every row of (doc_id, text, label).
+
+    Rows with a label fit the model; a null label is unknown, a null text has no k-mers.
+    """
     from pyspark.ml.classification import LinearSVC
     from pyspark.ml.feature import HashingTF
 
     from seqloom.functions.text import kmers
 
-    grams = df.withColumn("grams", kmers(F.lower("text"), k))
+    grams = df.withColumn("grams", kmers(F.lower(F.coalesce("text", F.lit(""))), k))
     vec = HashingTF(numFeatures=features, inputCol="grams", outputCol="features").transform(grams)
-    model = LinearSVC(maxIter=10, regParam=0.1).fit(vec.select("features", "label"))
+    model = LinearSVC(maxIter=10, regParam=0.1).fit(vec.where("label IS NOT NULL").select("features", "label"))
     return model.transform(vec).select("doc_id", "label", "prediction")

@@ -379,10 +379,10 @@ def q_orf_scan(s, d):
 
 @query()
 def q_species_split(s, d):
-    """Linear classifier on hashed k-mers, labels from a table (rows only)."""
+    """Linear classifier on hashed k-mers, fitted on the labelled documents, for all documents (rows only)."""
     from seqloom.operators import sequence
 
-    docs = table(s, d, "documents").join(table(s, d, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id")
+    docs = table(s, d, "documents").join(table(s, d, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id", "left")
     return sequence.species_split(docs.select("doc_id", "text", F.col("label").cast("double").alias("label")))
 
 

@@ -3,6 +3,7 @@
 import random
 
 from seqloom.operators import sequence as S
+from seqloom.plans import queries as Q
 
 
 def test_minhash_pairs_have_exact_similarity(spark):
@@ -22,3 +23,12 @@ def test_minhash_pairs_have_exact_similarity(spark):
     want = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b}
     want = {p: s for p, s in want.items() if s >= 0.8}
     assert got == want and (80, 81) in got and 10 < len(got) < 41
+
+
+def test_species_split_predicts_every_document(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = Q.q_species_split(spark, sf).collect()
+    labelled = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert len(got) == docs.count() and all(r.prediction in (0.0, 1.0) for r in got)
+    assert {r.doc_id for r in got if r.label is not None} == labelled & {r.doc_id for r in got} and any(r.label is None for r in got)
