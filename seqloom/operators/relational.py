@@ -23,7 +23,8 @@ def union_tagged(frames: dict[str, DataFrame]) -> DataFrame:
 
 def group_exact_n(df: DataFrame, key: str, item: Column, n: int) -> DataFrame:
     """Keys with exactly n items, their items in order. Groups of another size are not emitted."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.sort_array(F.collect_list(item)).alias("items")).where(F.col("_n") == n).drop("_n")
+    fit = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == n).select(key)  # counted first: a hot key is never gathered
+    return df.join(fit, key, "left_semi").groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("items"))
 
 
 def channel_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -47,11 +48,20 @@ def lookup_unique(df: DataFrame, dim: DataFrame, key: str, label: str) -> DataFr
     return df.join(once, key, "left").withColumn("label", F.coalesce("_label", key)).drop("_label")
 
 
-def islands_first(df: DataFrame, key: str, value: str, order: list[str]) -> DataFrame:
-    """Runs of equal values within a key collapse to their first row; ``island`` numbers them."""
-    w = Window.partitionBy(key).orderBy(*order)
-    new = (~F.col(value).eqNullSafe(F.lag(value).over(w))) | (F.row_number().over(w) == 1)
-    return df.withColumn("_new", new).withColumn("island", F.sum(F.col("_new").cast("int")).over(w).cast("long")).where("_new").drop("_new")
+def islands_first(df: DataFrame, key: str, order: list[str], within: list[str] | None = None) -> DataFrame:
+    """Runs of rows with equal ``key`` collapse to one row: in each column its first value that is not null.
+
+    ``order`` is total. Runs are found within the rows of equal ``within`` columns (one table each), so
+    no window spans the input; without it there is one window. ``island`` numbers the runs from 1. A
+    column that is null throughout a run stays null.
+    """
+    within = within or []
+    w = Window.partitionBy(*(within or [F.lit(1)])).orderBy(*order)
+    new = (~F.col(key).eqNullSafe(F.lag(key).over(w))) | (F.row_number().over(w) == 1)
+    runs = df.withColumn("_new", new).withColumn("island", F.sum(F.col("_new").cast("int")).over(w).cast("long"))
+    place = F.struct(*order)
+    firsts = [F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in df.columns if c not in (*within, key)]
+    return runs.groupBy(*within, "island", key).agg(*firsts).select(*df.columns, "island")
 
 
 def status_of(df: DataFrame, keys: list[str], scaffold: DataFrame, partial: Column) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,13 @@ from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder spark.checkpoint.dir names; one of our own only where it is unset (tests)."""
+    """The shared folder spark.checkpoint.dir names; one of our own only where it is unset and driver and
+    executors are one process (tests). On a cluster an unset folder raises."""
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="seqloom-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
