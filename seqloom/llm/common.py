@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,9 +15,12 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can read: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder every executor can read: spark.checkpoint.dir, or one of our own where that is unset and
+    driver and executors are one process (tests). On a cluster an unset folder raises."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
         conf = "file://" + tempfile.mkdtemp(prefix="seqloom-")
         spark.conf.set("spark.checkpoint.dir", conf)
     return conf
