@@ -5,7 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +34,15 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+#: Tables written by store() and not deleted yet: path and session.
+_written: dict[str, SparkSession] = {}
+
+
 def store(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it back: lineage ends at files that survive any executor."""
+    """Write df to the shared folder and read it back: lineage ends at files that survive any executor.
+
+    The files go with discard() or release(), or when the driver exits.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/seqloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
@@ -40,18 +50,44 @@ def store(df: DataFrame) -> DataFrame:
     fs.deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
+    _written[path] = spark
     return out
 
 
+def _delete(path: str) -> None:
+    spark = _written.pop(path, None)
+    if spark is not None:
+        p, fs = _fs(spark, path)
+        fs.delete(p, True)
+
+
 def discard(df: DataFrame) -> None:
     """Delete what store() wrote for df, once nothing reads it any more."""
-    p, fs = _fs(df.sparkSession, df._stored_at)
-    fs.delete(p, True)
+    _delete(df._stored_at)
+
+
+def written() -> set[str]:
+    """The tables that store() has written so far: what release() takes as ``before``."""
+    return set(_written)
+
+
+def release(before: set[str], *keep: DataFrame) -> None:
+    """Delete all tables written since ``before`` but those of ``keep``: an operator's own, once its result is stored."""
+    for path in set(_written) - before - {k._stored_at for k in keep}:
+        _delete(path)
 
 
-def arrow_rows(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows of an Arrow batch, so that batches of long texts fit a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``most`` bytes in one column, so that what Python builds from
+    them stays bounded; a longer text is a run of its own."""
+    at, held = 0, 0
+    for i, n in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
+        if i > at and held + n > most:
+            yield batch.slice(at, i - at)
+            at, held = i, 0
+        held += n + 64
+    if at < batch.num_rows:
+        yield batch.slice(at)
 
 
 def inline(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:

@@ -9,8 +9,9 @@ compared in square tiles that return spanning links only. Radii too wide for gua
 a fixed plan of many keys, the same at every size. Components are found distributed.
 
 Defined results: a text without words has fingerprint zero and links like any other; a null id
-takes part in a component through its fingerprint but cannot name one; repeated rows share a
-component; an empty table gives no row.
+takes part in a component through its fingerprint, links included, but cannot name one (a component
+without ids has a null name); repeated rows share a component; ids are integers; an empty table
+gives no row.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, connected_components, skew_join, store
+from .common import connected_components, skew_join, store
 
 #: Members of a key that are joined pair by pair; beyond it the exact linear or tiled way is used.
 PAIRED_MEMBERS = 32
@@ -60,18 +61,18 @@ def text_fingerprint(text: bytes | None, words: int, seeds: tuple[int, ...]) ->
     return out
 
 
-def fingerprints(docs: DataFrame, words: int = 3, seeds: tuple[int, ...] = (42,), id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, fp array<long>) of every row."""
-    arrow_rows(docs.sparkSession)
+def fingerprints(docs: DataFrame, words: int = 3, seeds: tuple[int, ...] = (42,), id_col: str = "doc_id", with_text_hash: bool = False) -> DataFrame:
+    """(doc_id, fp array<long>) of every row; with_text_hash adds ``t``, the text's own 64-bit hash."""
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            texts = b.column(1)
+            texts = b.column(0)
             fps = [text_fingerprint(texts[i].as_py(), words, seeds) for i in range(len(texts))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.list_(pa.int64()))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(fps, pa.list_(pa.int64()))], [*b.schema.names[1:], "fp"])
 
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return plain.mapInArrow(batches, "doc_id long, fp array<long>")
+    more = [F.xxhash64("text").alias("t")] if with_text_hash else []
+    plain = docs.select(F.col("text").cast("binary").alias("text"), F.col(id_col).cast("long").alias("doc_id"), *more)
+    return plain.mapInArrow(batches, "doc_id long, " + "t long, " * with_text_hash + "fp array<long>")
 
 
 def block_keys(bits: int, radius: int, keys: int | None = None, key_bits: int = 20) -> list[list[int]]:
@@ -219,22 +220,31 @@ def _variant_links(members: DataFrame, radius: int) -> DataFrame:
     return got.where(F.expr(f"bit_count(fp ^ m.fp) <= {radius}")).select(F.col("id").alias("src"), F.col("m.id").alias("dst")).distinct()
 
 
-def components(fps: DataFrame, bits: int, radius: int, plan: list[list[int]] | None = None) -> DataFrame:
-    """(doc_id, fp, component_id) for ``fps(doc_id, fp)``: the smallest id reachable by links within the radius."""
+def _grouped(fps: DataFrame, bits: int, radius: int, plan: list[list[int]] | None, by_id: bool) -> DataFrame:
+    """Rows of ``fps`` with ``comp``, one number per component of fingerprints within the radius; ``by_id``
+    links the fingerprints of one id as well. Nodes are the distinct fingerprints, numbered, so that null or
+    shared ids neither lose a link nor make one."""
     fps = store(fps)
-    distinct = store(fps.groupBy("fp").agg(F.min("doc_id").alias("id")))
-    known = distinct.where("id IS NOT NULL")
+    distinct = store(fps.select("fp").distinct().withColumn("id", F.monotonically_increasing_id()))
     if plan is None and radius > GUARANTEED_RADIUS:
-        links = wide_links(known, bits, radius, wide_plan(bits))
+        links = wide_links(distinct, bits, radius, wide_plan(bits))
     else:
-        links = hamming_links(known, bits, radius, plan or block_keys(bits, radius))
-    # One id on several texts is one document: its fingerprints are linked through it.
-    again = fps.join(distinct, "fp").where("doc_id <> id").select(F.col("doc_id").alias("src"), F.col("id").alias("dst"))
-    shared = fps.groupBy("doc_id").agg(F.count_distinct("fp").alias("n")).where("n > 1").select("doc_id")
-    again = again.join(shared, again.src == shared.doc_id, "left_semi")
-    roots = connected_components(links.union(again))
-    named = distinct.join(roots, distinct.id == roots.node, "left").select("fp", F.coalesce("component", "id").alias("component_id"))
-    return skew_join(fps, named, ["fp"], "left")
+        links = hamming_links(distinct, bits, radius, plan or block_keys(bits, radius))
+    rows = store(skew_join(fps, distinct, ["fp"]))
+    if by_id:
+        several = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("id").alias("dst"), F.max("id").alias("_m")).where("dst < _m").select("doc_id", "dst")
+        links = links.union(skew_join(rows.select("doc_id", F.col("id").alias("src")), several, ["doc_id"]).select("src", "dst"))
+    roots = connected_components(links)
+    named = distinct.select("id").join(roots, F.col("id") == F.col("node"), "left").select("id", F.coalesce("component", "id").alias("comp"))
+    return skew_join(rows, named, ["id"]).drop("id")
+
+
+def components(fps: DataFrame, bits: int, radius: int, plan: list[list[int]] | None = None) -> DataFrame:
+    """(doc_id, fp, component_id) for ``fps(doc_id, fp)``: the smallest id reachable by links within the
+    radius. One id on several texts is one document. Null where no id is reachable."""
+    rows = store(_grouped(fps, bits, radius, plan, by_id=True))
+    least = rows.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    return skew_join(rows, least, ["comp"]).select("doc_id", "fp", "component_id")
 
 
 def simhash_components(docs: DataFrame, words: int = 5, bits: int = 128, radius: int = 24) -> DataFrame:
@@ -247,11 +257,16 @@ def simhash_components(docs: DataFrame, words: int = 5, bits: int = 128, radius:
     return components(fingerprints(docs, words, tuple(range(42, 42 + bits // 64))), bits, radius)
 
 
-def keep_first(docs: DataFrame, **options) -> DataFrame:
-    """One document of each near-duplicate component: the one with the smallest id."""
-    comps = simhash_components(docs, **options)
-    stays = comps.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    named = docs.join(stays, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    # Texts without an id, as long as nothing with an id is their near duplicate: one per text.
-    lost = docs.where("doc_id IS NULL")
-    return named.unionByName(lost.dropDuplicates(["text"])) if not lost.isEmpty() else named
+def keep_first(docs: DataFrame, words: int = 5, bits: int = 128, radius: int = 24) -> DataFrame:
+    """One row of each near-duplicate component of texts: the smallest id (null last), then the smallest text hash.
+
+    Rows are told apart by id and text: rows that share an id only are documents of their own, repeated
+    rows are one.
+    """
+    fps = fingerprints(docs, words, tuple(range(42, 42 + bits // 64)), with_text_hash=True)
+    rows = _grouped(fps, bits, radius, None, by_id=False)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("first")
+    stays = rows.groupBy("comp").agg(first).select(F.col("first.doc_id").alias("_i"), F.col("first.t").alias("_t"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_a"), F.xxhash64("text").alias("_b"))
+    kept = packed.join(stays, F.col("_a").eqNullSafe(F.col("_i")) & (F.col("_b") == F.col("_t")), "left_semi").dropDuplicates(["_a", "_b"])
+    return kept.select("_row.*")

@@ -37,12 +37,17 @@ def mask(policy: str) -> int:
     return sum(1 << names.index(n) for n in POLICIES[policy])
 
 
-def measure(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
-    """Add n_words, word_chars, n_symbols, n_lines, n_dup_lines and n_repeat_words to every row."""
-    t = f"coalesce(`{text}`, '')"
-    base = docs.withColumn("_w", F.array_remove(F.split(F.expr(t), SPACE), ""))
-    lines = f"filter(split({t}, '\\n'), x -> x rlike '[^\\\\x20\\\\x09-\\\\x0D]')"
-    base = base.withColumn("_l", F.expr(lines))
+def measure(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Add n_words, word_chars, n_symbols, n_lines, n_dup_lines and n_repeat_words to every row.
+
+    Windows are compared by 64-bit hash within one text; a text of n words takes two different windows for
+    equal with a probability of about n^2 / 2^65.
+    """
+    t = "_t"
+    # The row is packed, so that no name of its columns can clash with those used here.
+    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_t"))
+    base = base.withColumn("_w", F.array_remove(F.split("_t", SPACE), ""))
+    base = base.withColumn("_l", F.expr("filter(split(_t, '\\n'), x -> x rlike '[^\\\\x20\\\\x09-\\\\x0D]')"))
     k = WINDOW
     window = ", ".join(["x"] + [f"get(_w, i + {j})" for j in range(1, k)])
     base = base.select(
@@ -66,7 +71,7 @@ def measure(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     # As a generator's output the measures are computed once: a filter on them is not pushed below,
     # where the optimiser would write them out again inside its condition.
     row = ", ".join(f"'{k}', {v}" for k, v in measures.items())
-    return base.select(*[F.col(c) for c in docs.columns if c not in measures], F.expr(f"inline(array(named_struct({row})))"))
+    return base.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns if c not in measures], F.expr(f"inline(array(named_struct({row})))"))
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:

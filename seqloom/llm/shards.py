@@ -7,15 +7,19 @@ are map-side combined, so a hot value or node costs no more than another, and th
 bins, never rows. A value that holds more than a bin's worth is cut by the hash, so that ties and
 hot sources cannot unbalance the leaves.
 
-Defined results: null metadata sorts before all values; a null text weighs nothing but the
-constant; repeated rows share a leaf; an empty table gives no shard.
+A text dimension enters by the rank of its whole value. Leaves follow bytes alone: equal texts may lie
+in several leaves, as a group of copies can hold more than a leaf's bytes.
+
+Defined results: null metadata sorts before all values; a null id sorts first and is numbered like any
+other; a null text weighs nothing but the constant; repeated rows are cut by their columns' hash and so
+share a leaf; an empty table gives no shard.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, inline, skew_join, store
@@ -27,10 +31,25 @@ SLOT_ROWS = 20_000
 BROADCAST_ROWS = 100_000
 
 
-def ordinal(c: Column) -> Column:
-    """A string's first six bytes as a number: order-preserving up to that prefix."""
-    head = F.rpad(F.hex(F.substring(F.coalesce(c, F.lit("")).cast("binary"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
+def ranks(values: DataFrame) -> DataFrame:
+    """(v, rank double) of the distinct non-null values of one column ``v``, in their order from 0.
+
+    Ranges are numbered apart and offset by the counts of the ranges before them, so that a dimension of
+    many values is sorted by many tasks.
+    """
+    dealt = store(values.where("v IS NOT NULL").distinct().repartitionByRange("v").withColumn("_p", F.spark_partition_id()))
+    counts = dealt.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))  # a row per range
+    offsets = counts.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    numbered = dealt.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy("v")) - 1)
+    return numbered.join(F.broadcast(offsets), "_p").select("v", (F.col("_r") + F.col("_off")).cast("double").alias("rank"))
+
+
+def _ranked(rows: DataFrame, name: str) -> DataFrame:
+    """Column ``name`` replaced by its value's rank; -1 where it is null."""
+    order = store(ranks(rows.select(F.col(name).alias("v"))))
+    order = order.select(F.col("v").alias(name), F.col("rank").alias("_rank"))
+    out = rows.join(F.broadcast(order), name, "left") if order.count() <= BROADCAST_ROWS else skew_join(rows, order, [name], "left")
+    return out.withColumn(name, F.coalesce("_rank", F.lit(-1.0))).drop("_rank")
 
 
 def _cut(frame: DataFrame, value: Column, nodes: dict[int, tuple]) -> dict[int, tuple[int, float]]:
@@ -40,10 +59,11 @@ def _cut(frame: DataFrame, value: Column, nodes: dict[int, tuple]) -> dict[int,
         sums.setdefault(node, []).append((b, w))
     out = {}
     for node, got in sums.items():
+        got.sort()
         quota, before = nodes[node], 0
-        for b, w in sorted(got):
-            if before + w >= quota or b == max(x for x, _ in got):
-                out[node] = (b, before)
+        for b, w in got:
+            out[node] = (b, before)
+            if before + w >= quota:
                 break
             before += w
     return out
@@ -126,8 +146,6 @@ def kd_leaves(rows: DataFrame, dims: list[str], target_bytes: float | None = Non
 
 def slots(rows: DataFrame, order: list[str]) -> DataFrame:
     """Number the rows of each ``shard`` without gaps from 0, in pieces that no hot shard overfills."""
-    from pyspark.sql import Window
-
     sizes = rows.groupBy("shard").agg(F.count(F.lit(1)).alias("_n"))
     pieces = max(1, math.ceil((sizes.agg(F.max("_n")).first()[0] or 0) / SLOT_ROWS))
     rows = rows.withColumn("_piece", F.pmod(F.xxhash64(*order), F.lit(pieces)).cast("int"))
@@ -149,9 +167,10 @@ def kd_shards(docs: DataFrame, n_shards: int | None = None, target_bytes: float
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = store(docs.select(
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        ordinal(F.col("lang")).alias("d_lang"), ordinal(F.col("source")).alias("d_source"),
+        F.col("lang").alias("d_lang"), F.col("source").alias("d_source"),
         F.log2(F.octet_length(text) + 1.0).alias("d_size"), F.coalesce(F.col("doc_id").cast("double"), F.lit(-1.0)).alias("d_id"),
     ))
     dims = ["d_lang", "d_source", "d_size", "d_id"]
-    leaves = store(kd_leaves(rows, dims, target_bytes, n_shards))
+    placed = store(_ranked(_ranked(rows, "d_lang"), "d_source").select(*rows.columns))
+    leaves = store(kd_leaves(placed, dims, target_bytes, n_shards))
     return slots(leaves, ["doc_id", "text_crc32", "size", "d_lang", "d_source"]).drop(*dims)
