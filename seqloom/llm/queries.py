@@ -52,7 +52,7 @@ def op6_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix.repeated_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"), length=400)
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text")
 
 
 def op8_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ several threads. Every text is decoded again, and its ids are compared with the
 library's own.
 
 Defined results: a null or empty text has no ids and decodes to the empty string; rows are encoded
-one by one, so ties and repeated rows do not matter; an empty table gives no row.
+one by one, so ties, repeated rows and null ids do not matter; an empty table gives no row; a kept column
+named like one of encode()'s own takes its place.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows
+from .common import slices
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -111,7 +112,7 @@ def build(m: Model):
     if m.charsmap:
         steps.append(normalizers.Precompiled(m.charsmap))
     if m.remove_extra_whitespaces:
-        steps += [normalizers.Strip(), normalizers.Replace(Regex(" {2,}"), " ")]
+        steps += [normalizers.Replace(Regex(r"\A +| +\z"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
     mark = MARK if m.escape_whitespaces else " "
     if m.add_dummy_prefix:
         steps.append(normalizers.Prepend(mark))
@@ -123,45 +124,63 @@ def build(m: Model):
 
 
 class Encoder:
-    """Texts to ids (little-endian 32-bit) and back to bytes; each unit met is encoded once.
+    """Texts to ids (little-endian 32-bit) and whether the ids decode to the text; each unit is encoded and decoded once.
 
-    If no piece holds a marker after another character, no merge and no path crosses the start of a
-    marked word, so words are units and encoding them on their own is exact; otherwise the text is its
-    only unit. A normaliser that only marks spaces is applied to units, any other to the whole text.
+    If no piece holds a marker after another character and the marker is a piece, no merge, no path and
+    no run of unknowns crosses the start of a marked word, so words are units and encoding or decoding
+    them on their own is exact. Where the normaliser does more than mark spaces, units are those of the
+    normalised text and whole texts are decoded; where words are no units, the text is its only one.
     ``max_units`` bounds the memory of units; when it is reached they start anew, which changes no result.
     """
 
     def __init__(self, m: Model, max_units: int = 1 << 18):
         self.tok = build(m)
         self.normalizer, self.tok.normalizer = self.tok.normalizer, None
-        self.whole = any(MARK in p.lstrip(MARK) for p, _, kind in m.pieces if kind in (NORMAL, USER))
-        self.local = m.escape_whitespaces and not m.charsmap and not m.remove_extra_whitespaces
-        self.prefix = " " if m.add_dummy_prefix else ""
+        plain = {p for p, _, kind in m.pieces if kind in (NORMAL, USER)}
+        self.whole = MARK not in plain or any(MARK in p.lstrip(MARK) for p in plain)
+        self.local = not self.whole and m.escape_whitespaces and m.add_dummy_prefix and not m.charsmap and not m.remove_extra_whitespaces
         self.words = {mark: re.compile(f"{mark}*[^{mark}]+|{mark}+").findall for mark in (" ", MARK)}
-        self.pieces = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() for p, _, kind in m.pieces]
-        self.max_units, self.ids, self.spelt = max_units, {}, {}
+        self.max_units, self.ids, self.bad = max_units, {}, set()
 
     def units(self, text: str) -> list[str]:
-        """Normalised units; where the normaliser is local, spaces stand for markers."""
+        """Normalised units; where the normaliser is local, each without its first marker and with spaces for others."""
         if not text:
             return []
-        if self.local and not self.whole and MARK not in text:
-            return self.words[" "](self.prefix + text)
+        if self.local:
+            if MARK in text:
+                text = text.replace(MARK, " ")
+            if "  " in text or text[0] == " " or text[-1] == " ":
+                return [u[1:] for u in self.words[" "](" " + text)]
+            return text.split(" ")
         x = self.normalizer.normalize_str(text)
         return self.words[MARK](x) if not self.whole else [x] if x else []
 
-    def encode_batch(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
-        units = [self.units(x) for x in texts]
+    def _learn(self, texts: list[list[str]]) -> None:
+        new = list(set().union(*texts).difference(self.ids))
+        marked = [MARK + u.replace(" ", MARK) for u in new] if self.local else new
+        got = [e.ids for e in self.tok.encode_batch_fast(marked, add_special_tokens=False)]
+        self.ids.update((u, struct.pack(f"<{len(ids)}i", *ids)) for u, ids in zip(new, got))
+        if self.local:
+            self.bad.update(u for u, back in zip(new, self.tok.decode_batch(got, skip_special_tokens=False)) if back != u)
+
+    def encode_batch(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
         if len(self.ids) > self.max_units:
-            self.ids, self.spelt = {}, {}
-        new = list(set().union(*units).difference(self.ids))
-        marked = [u.replace(" ", MARK) for u in new] if self.local else new
-        for u, e in zip(new, self.tok.encode_batch_fast(marked, add_special_tokens=False)):
-            ids = e.ids
-            self.ids[u] = struct.pack(f"<{len(ids)}i", *ids)
-            self.spelt[u] = b"".join(map(self.pieces.__getitem__, ids))
-        skip = len(self.prefix)
-        return [b"".join(map(self.ids.__getitem__, u)) for u in units], [b"".join(map(self.spelt.__getitem__, u))[skip:] for u in units]
+            self.ids, self.bad = {}, set()
+        units, out, later = [self.units(x) for x in texts], [], []
+        for i, u in enumerate(units):
+            try:
+                out.append(b"".join(map(self.ids.__getitem__, u)))
+            except KeyError:  # units not met before
+                out.append(b"")
+                later.append(i)
+        if later:
+            self._learn([units[i] for i in later])
+            for i in later:
+                out[i] = b"".join(map(self.ids.__getitem__, units[i]))
+        if self.local:
+            return out, [MARK not in x and self.bad.isdisjoint(u) for x, u in zip(texts, units)] if self.bad else [MARK not in x for x in texts]
+        back = self.tok.decode_batch([list(struct.unpack(f"<{len(x) // 4}i", x)) for x in out], skip_special_tokens=False)
+        return out, [x == y for x, y in zip(back, texts)]
 
 
 @lru_cache(1)
@@ -180,13 +199,12 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", keep: tuple[str
     whether the ids equal those the sentencepiece library gives the whole text.
     """
     spark = docs.sparkSession
-    arrow_rows(spark, 500)
     with open(model_path, "rb") as f:
         blob = f.read()  # bounded by the model: a fraction of a MB
     shipped = spark.sparkContext.broadcast(blob)
-    kept = [F.col(c) for c in keep]
-    plain = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields[:-1]]
+    own = ["n_tokens", "ids", "ids_sha256", "decoded_ok", "parity"]
+    packed = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text"), *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(keep)])
+    fields = [f"_{i} {f.dataType.simpleString()}" for i, f in enumerate(packed.schema.fields[1:])]
 
     def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -194,21 +212,20 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", keep: tuple[str
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         os.environ.setdefault("RAYON_NUM_THREADS", "2")
         coder, ref = loaded(shipped.value)
-        for rows in it:
-            texts = rows.column(rows.num_columns - 1).to_pylist()
-            ids, spelt = coder.encode_batch(texts)
-            same = []
-            for s in range(0, len(texts), 50):
-                same += [np.array(want, "<i4").tobytes() == got for want, got in zip(ref.encode(texts[s:s + 50], num_threads=1), ids[s:s + 50])]
-            sizes = np.array([len(x) // 4 for x in ids], np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], sizes.cumsum())), pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32()))
-            digest = [hashlib.sha256(x).hexdigest() for x in ids]
-            back = [x == y.encode() for x, y in zip(spelt, texts)]
-            yield pa.RecordBatch.from_arrays(
-                [*rows.columns[:-1], pa.array(sizes), lists, pa.array(digest, pa.string()), pa.array(back, pa.bool_()), pa.array(same, pa.bool_())],
-                [*keep, "n_tokens", "ids", "ids_sha256", "decoded_ok", "parity"])
-
-    return plain.mapInArrow(batches, ", ".join([*fields, "n_tokens long, ids array<int>, ids_sha256 string, decoded_ok boolean, parity boolean"]))
+        for batch in it:
+            for rows in slices(batch, 0):
+                texts = rows.column(0).to_pylist()
+                ids, back = coder.encode_batch(texts)
+                same = [struct.pack(f"<{len(want)}i", *want) == got for want, got in zip(ref.encode(texts, num_threads=1), ids)]
+                sizes = np.array([len(x) // 4 for x in ids], np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], sizes.cumsum())), pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32()))
+                digest = [hashlib.sha256(x).hexdigest() for x in ids]
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns[1:], pa.array(sizes), lists, pa.array(digest, pa.string()), pa.array(back, pa.bool_()), pa.array(same, pa.bool_())],
+                    [*rows.schema.names[1:], *own])
+
+    out = packed.mapInArrow(batches, ", ".join([*fields, "n_tokens long, ids array<int>, ids_sha256 string, decoded_ok boolean, parity boolean"]))
+    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], *[c for c in own if c not in keep])
 
 
 def decode(rows: DataFrame, model_path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

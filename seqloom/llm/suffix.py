@@ -3,19 +3,22 @@
 lyndon_suffix_array() sorts suffixes by their longest Lyndon prefixes: groups of suffixes are
 processed in descending order, every member hands its group's prefix to its previous smaller
 position, and a second pass emits each group's order from the order of the suffixes that follow the
-prefixes; nothing is renamed or recursed.
+prefixes; nothing is renamed or recursed, and all sorting is by buckets.
 
 To find every string of ``length`` bytes that starts twice in a corpus, the work is cut into
 independent pieces. Each start of such a string belongs to exactly one anchor, the least hash among
-the ``k``-grams of the string, so equal strings share an anchor's hash and their offset to it.
-Stretches of starts with the same anchor and the same bytes collapse and are counted: two of them
-repeat outright. Where stretches of one anchor differ, they are cut into pieces of PIECE starts
-that share a core of length - PIECE + 1 bytes (by 128-bit hash); the core becomes one symbol, and
-the suffix array of the pieces' few remaining bytes tells which starts repeat. Pieces with many
-variants are counted start by start instead, distributed, which is exact as well.
-
-Defined results: a null text is empty; a row is identified by its id and text, and repeated rows are
-copies of each other; texts shorter than ``length`` lose nothing; an empty table gives no row.
+the ``k``-grams of the string, so equal strings share an anchor's hash and their offset to it. Equal
+stretches of starts collapse to one with a weight. Where stretches of one anchor differ, they are cut
+into pieces of PIECE starts that share a core of length - PIECE + 1 bytes (by 128-bit hash). Whatever
+the members of a piece share becomes one symbol; a piece that has one variant only is that symbol. A
+piece of more than MOST_VARIANTS variants is dealt by the next bytes on either side, which halves its
+starts and lengthens its core, until it is small enough: at one start it is a single symbol. The suffix
+order of the pieces' symbols alone tells which starts repeat: those whose windows are neighbours in it
+and equal, and weigh two or more together.
+
+Defined results: a null text is empty; a null id is an id like any other; a row is identified by its id
+and text, and repeated rows are copies of each other; texts shorter than ``length`` lose nothing; an empty
+table gives no row; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,20 +28,29 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, discard, skew_join, store
+from .common import discard, skew_join, slices, store
 
-K, PIECE, MOST_VARIANTS = 64, 16, 64
+#: PIECE is a power of two. SYMBOLS sorted at once fit 16 bits.
+K, PIECE, MOST_VARIANTS, SYMBOLS = 64, 16, 64, 4096
+
+
+def _by_symbol(t: list[int]) -> list[int]:
+    """Positions of t in the order of their symbols; numpy sorts 16-bit keys by radix, wider ones in two passes of it."""
+    x = np.array(t, np.int64)
+    low = np.argsort((x & 0xFFFF).astype(np.uint16), kind="stable")
+    if len(x) and x.max() > 0xFFFF:
+        low = low[np.argsort((x >> 16).astype(np.uint16)[low], kind="stable")]
+    return low.tolist()
 
 
 def lyndon_suffix_array(t: list[int]) -> list[int]:
-    """Starts of the suffixes of t in ascending order."""
+    """Starts of the suffixes of t (symbols from 0, below 2^32) in ascending order."""
     n = len(t)
-    at = sorted(range(n), key=t.__getitem__)  # suffixes by group
+    at = _by_symbol(t)  # suffixes by group
     place = [0] * n
     group = [0] * n  # where the suffix's group begins in ``at``
     for r, i in enumerate(at):
@@ -69,22 +81,23 @@ def lyndon_suffix_array(t: list[int]) -> list[int]:
                 after[j] = nxt
                 handed[group[j]].append((count, j))
         for old, moved in handed.items():
-            moved.sort(reverse=True)
-            last, mark = old + size[old], 0
-            for count, j in moved:  # most repeats go furthest back
-                last -= 1
-                r, other = place[j], at[last]
-                at[r], at[last] = other, j
-                place[other], place[j] = r, last
+            repeats: list[list[int]] = [[] for _ in range(max(moved)[0])]  # no longer than the runs handed on
+            for count, j in moved:
+                repeats[count - 1].append(j)
+            last = old + size[old]
             size[old] -= len(moved)
-            r = last
-            for count, j in reversed(moved):
-                if count != mark:
-                    new, mark = r, count
-                    size[new] = 0
-                group[j] = new
-                size[new] += 1
-                r += 1
+            for js in reversed(repeats):  # most repeats go furthest back
+                if not js:
+                    continue
+                for j in js:
+                    last -= 1
+                    r, other = place[j], at[last]
+                    at[r], at[last] = other, j
+                    place[other], place[j] = r, last
+                    group[j] = last
+                for j in js:
+                    group[j] = last
+                size[last] = len(js)
         end = start
     free = {g: g for g in set(group)}
     out = [0] * n
@@ -96,39 +109,47 @@ def lyndon_suffix_array(t: list[int]) -> list[int]:
     return out
 
 
-def repeated_starts(variants: list[tuple[bytes, bytes, int]]) -> list[list[int]]:
-    """Per variant (left, right, weight) of one piece: the offsets d, left bytes taken, of the windows
-    left[-d:] + core + right[:PIECE - 1 - d] whose total weight is two or more."""
+#: One variant of a piece: piece's number, bytes left and right of the core, weight, starts of the piece.
+Variant = tuple[int, bytes, bytes, int, int]
+
+
+def repeated_starts(variants: list[Variant]) -> list[tuple[int, int] | None]:
+    """Per variant the least and most offset d, left bytes taken, of its windows
+    left[-d:] + core + right[:starts - 1 - d] whose total weight in the piece is two or more.
+
+    Any number of whole pieces may be given: their cores differ, so no window of one equals another's.
+    """
     text: list[int] = []
     where: list[tuple[int, int] | None] = []
-    core = len(variants) + 256
-    for v, (left, right, _) in enumerate(variants):
-        least = PIECE - 1 - len(right)
+    ends = len(variants)
+    for v, (piece, left, right, _, starts) in enumerate(variants):
+        least = starts - 1 - len(right)
         for d in range(len(left), 0, -1):
-            text.append(left[-d] + len(variants))
+            text.append(left[-d] + ends)
             where.append((v, d) if d >= least else None)
-        text += [core, *(c + len(variants) for c in right), v]  # v ends the variant: below every byte, and unique
-        where += [(v, 0) if least == 0 else None] + [None] * (len(right) + 1)
-    out: list[list[int]] = [[] for _ in variants]
+        text += [ends + 256 + piece, *(c + ends for c in right), v]  # v ends the variant: below every byte, and unique
+        where += [(v, 0) if least <= 0 else None] + [None] * (len(right) + 1)
+    found: list[tuple[int, int] | None] = [None] * len(variants)
     same: list[tuple[int, int]] = []
 
     def close() -> None:
-        if same and sum(variants[v][2] for v, _ in same) >= 2:
+        if same and sum(variants[v][3] for v, _ in same) >= 2:
             for v, d in same:
-                out[v].append(d)
+                lo, hi = found[v] or (d, d)
+                found[v] = (min(lo, d), max(hi, d))
 
     last = None
     for i in lyndon_suffix_array(text):
         if where[i] is None:
             continue
-        now = text[i:i + PIECE]
+        now = text[i:i + variants[where[i][0]][4]]
         if now != last:
             close()
             same.clear()
         same.append(where[i])
         last = now
     close()
-    return out
+    return found
 
 
 def _least(x: np.ndarray, w: int) -> np.ndarray:
@@ -168,7 +189,7 @@ def _anchor_rows(length: int):
             ids = b.column(0).to_numpy(), b.column(1).to_numpy()
             texts = b.column(2)
             for i in range(b.num_rows):
-                text = texts[i].as_py() or b""
+                text = texts[i].as_py()
                 if len(text) < length:
                     continue
                 got = anchors(text, length)
@@ -187,12 +208,17 @@ def _anchor_rows(length: int):
 
 def _pieces(length: int):
     names = ["h", "c1", "c2", "w", "q", "k1", "k2", "left", "right"]
+    kinds = [pa.int64()] * 4 + [pa.int32()] + [pa.int64()] * 2 + [pa.binary()] * 2
+
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
         for b in it:
-            rows = []
-            for text, stretches in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for s in stretches:
+            for text, stretches in zip(b.column(0), b.column(1)):
+                text = text.as_py()
+                for s in stretches.as_py():
                     p, far, near = s["p"], s["p"] - s["lo"], s["p"] - s["hi"]
                     for q in range(near // PIECE, far // PIECE + 1):
                         d0 = q * PIECE
@@ -200,102 +226,157 @@ def _pieces(length: int):
                         at, stop = p - d0, p - d0 - PIECE + 1 + length
                         k = np.frombuffer(_digest(text[at:stop]), np.int64)
                         rows.append((s["h"], s["c1"], s["c2"], s["w"], q, int(k[0]), int(k[1]), text[p - d_max:at], text[stop:p - d_min + length]))
-            cols = list(zip(*rows)) if rows else [[] for _ in names]
-            kinds = [pa.int64()] * 4 + [pa.int32()] + [pa.int64()] * 2 + [pa.binary()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+                    if len(rows) >= 10_000:
+                        yield batch(rows)
+                        rows = []
+        if rows:
+            yield batch(rows)
 
     return run
 
 
-def _sorted_pieces(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows ordered by piece; (piece, left, right, least and most repeated offset). A piece has at most MOST_VARIANTS rows."""
-    key = ["h", "q", "k1", "k2"]
-    rest = None
-
-    def solve(frame: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for name, g in frame.groupby(key, sort=False):
-            variants = list(zip(g.left, g.right, g.w))
-            for (left, right, _), ds in zip(variants, repeated_starts(variants)):
-                if ds:
-                    out.append((*name, left, right, min(ds), max(ds)))
-        return pd.DataFrame(out, columns=[*key, "left", "right", "least", "most"])
-
-    for pdf in it:
-        pdf = pdf if rest is None else pd.concat([rest, pdf])
-        if not len(pdf):
-            continue
-        ended = (pdf[key] != pdf[key].iloc[-1]).any(axis=1).to_numpy()
-        rest = pdf[~ended]  # the last piece may go on in the next batch
-        yield solve(pdf[ended])
-    if rest is not None and len(rest):
-        yield solve(rest)
+PIECE_KEY = ["h", "q", "k1", "k2"]
+VARIANT = [*PIECE_KEY, "left", "right"]
+SOLVED = "h long, q int, k1 long, k2 long, left binary, right binary, least int, most int"
+
+
+def _solve(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (piece key, left, right, w, starts) in the order of pieces to the rows that repeat, with their least and
+    most offset. Pieces are sorted together up to SYMBOLS symbols; a piece has at most MOST_VARIANTS rows."""
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32()]
+    held: list[tuple] = []  # rows of whole pieces and of the last one
+    number, symbols, key, begun = -1, 0, None, 0
+
+    def solve(rows: list[tuple]) -> pa.RecordBatch:
+        first = rows[0][0]
+        got = repeated_starts([(n - first, left, right, w, starts) for n, _, left, right, w, starts in rows])
+        out = [(*r[1], r[2], r[3], *f) for r, f in zip(rows, got) if f]
+        cols = list(zip(*out)) if out else [[] for _ in kinds]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], [*VARIANT, "least", "most"])
+
+    for b in it:
+        for *name, left, right, w, starts in zip(*(c.to_pylist() for c in b.columns)):
+            name = tuple(name)
+            if name != key:
+                if symbols >= SYMBOLS:
+                    yield solve(held)
+                    held, symbols = [], 0
+                key, number = name, number + 1
+            held.append((number, name, left, right, w, starts))
+            symbols += len(left) + len(right) + 2
+    if held:
+        yield solve(held)
+
+
+def _dealt(sub: DataFrame, starts: int) -> DataFrame:
+    """Rows (origin, add, piece key, left, right, w) of large pieces of ``starts`` starts in two halves of them: the
+    offsets from half on share half of the left bytes with their core, the others half of the right ones."""
+    half = starts // 2
+    far = sub.where(f"length(left) >= {half}").select("origin", (F.col("add") + half).alias("add"), *PIECE_KEY, F.expr(f"substring(left, -{half}, {half})").alias("more"), F.lit(1).alias("side"),
+                                                      F.expr(f"substring(left, 1, length(left) - {half})").alias("left"), F.expr(f"substring(right, 1, {half - 1})").alias("right"), "w")
+    near = sub.where(f"length(right) >= {half}").select("origin", "add", *PIECE_KEY, F.expr(f"substring(right, 1, {half})").alias("more"), F.lit(0).alias("side"),
+                                                        F.expr(f"substring(left, {1 - half}, {half - 1})").alias("left"), F.expr(f"substring(right, {half + 1}, {half - 1})").alias("right"), "w")
+    both = far.union(near)
+    return both.select("origin", "add", "h", "q", F.xxhash64("k1", "k2", "side", "more").alias("k1"), F.xxhash64("more", "side", F.lit(7), "k2", "k1").alias("k2"), "left", "right", "w")
+
+
+def _sort_pieces(variants: DataFrame) -> DataFrame:
+    """(piece key, left, right, least, most) of the variants(piece key, left, right, w) that hold a repeated start."""
+    tasks = int(variants.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    origin = F.struct(*VARIANT, "w").alias("origin")
+    sub = variants.select(origin, F.lit(0).alias("add"), *VARIANT, "w")
+    starts, out, done = PIECE, [], []
+    while True:
+        one = sub.groupBy(*VARIANT).agg(F.sum("w").alias("w")) if starts < PIECE else sub.select(*VARIANT, "w")
+        sizes = one.groupBy(*PIECE_KEY).agg(F.count(F.lit(1)).alias("_n"), F.sum("w").alias("_t")).where("_t > 1")
+        one = store(skew_join(one, sizes, PIECE_KEY))
+        done.append(one)
+        # What a lone variant's windows share is all of it: one symbol.
+        blank = F.lit(b"").cast("binary")
+        lone = one.where("_n = 1").select(*PIECE_KEY, blank.alias("left"), blank.alias("right"), "w", F.lit(1).alias("starts"), F.col("left").alias("l"), F.col("right").alias("r"))
+        alone = lone.select(*PIECE_KEY, "left", "right", "w", "starts").mapInArrow(_solve, SOLVED).select(*PIECE_KEY)
+        alone = skew_join(lone.select(*PIECE_KEY, F.col("l").alias("left"), F.col("r").alias("right")), alone, PIECE_KEY)
+        alone = alone.select(*VARIANT, F.expr(f"{starts - 1} - length(right)").alias("least"), F.expr("length(left)").alias("most"))
+        few = one.where(f"_n > 1 AND _n <= {MOST_VARIANTS}").select(*VARIANT, "w", F.lit(starts).alias("starts"))
+        few = few.repartition(tasks, *PIECE_KEY).sortWithinPartitions(*PIECE_KEY).mapInArrow(_solve, SOLVED)
+        solved = store(alone.union(few))
+        done.append(solved)
+        if starts == PIECE:
+            out.append(solved.select(*VARIANT, "least", "most"))
+        else:
+            hit = skew_join(sub.select("origin", "add", *VARIANT), solved, VARIANT)
+            hit = hit.select("origin.*", (F.col("add") + F.col("least")).alias("least"), (F.col("add") + F.col("most")).alias("most"))
+            out.append(hit.select(*VARIANT, "least", "most"))
+        large = one.where(f"_n > {MOST_VARIANTS}")
+        if large.isEmpty():
+            break
+        sub = store(_dealt(skew_join(sub, large.select(*PIECE_KEY).distinct(), PIECE_KEY), starts))
+        done.append(sub)
+        starts //= 2
+    found = out[0]
+    for more in out[1:]:
+        found = found.union(more)
+    if len(out) > 1:
+        found = found.groupBy(*VARIANT).agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    found = store(found)
+    for frame in done:
+        discard(frame)
+    return found
 
 
 def _removed(length: int):
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.struct([("a", pa.int64()), ("z", pa.int64())]))]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text", "runs"]
+
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            out = []
-            for text, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                text, runs = text or b"", []
-                for s in sorted((x["a"], x["z"]) for x in spans or []):
-                    if runs and s[0] <= runs[-1][1]:
-                        runs[-1][1] = max(runs[-1][1], s[1])
-                    else:
-                        runs.append(list(s))
-                kept, at = hashlib.sha256(), 0
-                for a, z in runs:
-                    kept.update(text[at:a])
-                    at = z
-                kept.update(text[at:])
-                out.append((len(text), sum(z - a for a, z in runs), len(runs), kept.hexdigest(), [{"a": a, "z": z} for a, z in runs]))
-            cols = list(zip(*out)) if out else [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("a", pa.int64()), ("z", pa.int64())]))]
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, k) for c, k in zip(cols, kinds)]], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "runs"])
+        for whole in it:
+            for b in slices(whole, 1, 1 << 23):
+                out = []
+                for text, spans in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                    text, runs = text or b"", []
+                    for s in sorted((x["a"], x["z"]) for x in spans or []):
+                        if runs and s[0] <= runs[-1][1]:
+                            runs[-1][1] = max(runs[-1][1], s[1])
+                        else:
+                            runs.append(list(s))
+                    parts, at = [], 0
+                    for a, z in runs:
+                        parts.append(text[at:a])
+                        at = z
+                    left = b"".join([*parts, text[at:]]) if runs else text
+                    out.append((len(text), sum(z - a for a, z in runs), len(runs), hashlib.sha256(left).hexdigest(), left.decode("utf-8", "replace"), [{"a": a, "z": z} for a, z in runs]))
+                yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, k) for c, k in zip(zip(*out), kinds)]], names)
 
     return run
 
 
 def repeated_spans(docs: DataFrame, length: int = 400) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, runs (array of byte ranges a to z) of every row."""
-    arrow_rows(docs.sparkSession, 500)
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, text (what is left; a character cut through reads
+    as U+FFFD), runs (array of byte ranges a to z) of every row."""
     keyed = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), F.xxhash64("doc_id", "text").alias("r1"), F.xxhash64("text", F.lit(1), "doc_id").alias("r2"))
     found = store(keyed.select("r1", "r2", "text").mapInArrow(_anchor_rows(length), "r1 long, r2 long, lo long, hi long, p long, h long, c1 long, c2 long"))
     ctx = found.groupBy("h", "c1", "c2").agg(F.count(F.lit(1)).alias("w"), F.min(F.struct("r1", "r2", "lo", "hi", "p")).alias("rep"))
     ctx = store(ctx)
-    split = ctx.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    # One bearer of each differing stretch is asked for its bytes.
-    bearers = skew_join(ctx, split, ["h"]).select("rep.*", "h", "c1", "c2", "w")
-    asked = bearers.groupBy("r1", "r2").agg(F.collect_list(F.struct("h", "c1", "c2", "w", "lo", "hi", "p")).alias("s"))
+    per = ctx.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.sum("w").alias("t")).where("t > 1")
+    per = store(skew_join(ctx, per.select("h", "n"), ["h"]))
+    # Where all stretches of an anchor are equal, the stretch is one symbol; it is named by its digest.
+    blank = F.lit(b"").cast("binary")
+    same = per.where("n = 1").select("h", F.lit(-1).alias("q"), F.col("c1").alias("k1"), F.col("c2").alias("k2"), blank.alias("left"), blank.alias("right"), "w", F.lit(1).alias("starts"))
+    same = same.mapInArrow(_solve, SOLVED).select("h", F.col("k1").alias("c1"), F.col("k2").alias("c2"))
+    # Otherwise one bearer of each differing stretch is asked for its bytes.
+    asked = per.where("n > 1").select("rep.*", "h", "c1", "c2", "w").groupBy("r1", "r2").agg(F.collect_list(F.struct("h", "c1", "c2", "w", "lo", "hi", "p")).alias("s"))
     with_text = skew_join(keyed.select("r1", "r2", "text"), asked, ["r1", "r2"]).select("text", "s")
-    pieces = with_text.mapInArrow(_pieces(length), "h long, c1 long, c2 long, w long, q int, k1 long, k2 long, left binary, right binary")
     # A repeated row bears its stretches repeatedly; they weigh two or more already, so nothing changes.
-    pieces = store(pieces)
-    piece = ["h", "q", "k1", "k2"]
-    variants = pieces.groupBy(*piece, "left", "right").agg(F.sum("w").alias("w"))
-    shared = pieces.groupBy(*piece).agg(F.sum("w").alias("_t")).where("_t > 1")
-    variants = store(skew_join(variants, shared, piece).drop("_t"))
-    many = variants.groupBy(*piece).agg(F.count(F.lit(1)).alias("_n"))
-    sized = store(skew_join(variants, many, piece))
-    # A single variant that weighs two or more repeats outright.
-    lone = sized.where("_n = 1").select(*piece, "left", "right", F.expr(f"{PIECE - 1} - length(right)").alias("least"), F.expr("length(left)").alias("most"))
-    few = sized.where(f"_n > 1 AND _n <= {MOST_VARIANTS}").drop("_n")
-    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    solved = few.repartition(tasks, *piece).sortWithinPartitions(*piece).mapInPandas(_sorted_pieces, "h long, q int, k1 long, k2 long, left binary, right binary, least int, most int")
-    last = PIECE - 1
-    each = sized.where(f"_n > {MOST_VARIANTS}").withColumn("d", F.explode(F.expr(f"sequence({last} - length(right), length(left))")))
-    each = each.withColumn("win", F.expr(f"concat(substring(left, length(left) - d + 1, d), substring(right, 1, {last} - d))"))
-    twice = each.groupBy(*piece, "d", "win").agg(F.sum("w").alias("_s")).where("_s > 1")
-    counted = skew_join(each, twice, [*piece, "d", "win"]).groupBy(*piece, "left", "right").agg(F.min("d").alias("least"), F.max("d").alias("most"))
-    solved = store(solved.union(counted.select(*solved.columns)).union(lone))
-    part = skew_join(pieces, solved, [*piece, "left", "right"]).groupBy("h", "c1", "c2").agg(F.max(F.expr(f"q * {PIECE} + most")).alias("far"), F.min(F.expr(f"q * {PIECE} + least")).alias("near"))
+    pieces = store(with_text.mapInArrow(_pieces(length), "h long, c1 long, c2 long, w long, q int, k1 long, k2 long, left binary, right binary"))
+    variants = store(pieces.groupBy(*VARIANT).agg(F.sum("w").alias("w")))
+    solved = _sort_pieces(variants)
+    part = skew_join(pieces, solved, VARIANT).groupBy("h", "c1", "c2").agg(F.max(F.expr(f"q * {PIECE} + most")).cast("long").alias("far"), F.min(F.expr(f"q * {PIECE} + least")).cast("long").alias("near"))
     # All windows of a stretch hold its anchor, so what they cover is one range.
-    whole = ctx.where("w > 1").select("h", "c1", "c2", F.expr("rep.p - rep.lo").cast("long").alias("far"), F.expr("rep.p - rep.hi").cast("long").alias("near"))
-    part = part.select("h", "c1", "c2", F.col("far").cast("long"), F.col("near").cast("long")).join(whole.select("h", "c1", "c2"), ["h", "c1", "c2"], "left_anti")
-    repeated = store(whole.union(part))
+    equal = skew_join(per.where("n = 1").select("h", "c1", "c2", "rep"), same, ["h", "c1", "c2"]).select("h", "c1", "c2", F.expr("rep.p - rep.lo").cast("long").alias("far"), F.expr("rep.p - rep.hi").cast("long").alias("near"))
+    repeated = store(equal.union(part))
     ranges = skew_join(found, repeated, ["h", "c1", "c2"]).select("r1", "r2", F.expr("p - far").alias("a"), F.expr(f"p - near + {length}").alias("z"))
     ranges = store(ranges.groupBy("r1", "r2").agg(F.collect_set(F.struct("a", "z")).alias("spans")))  # bounded by one text
-    for frame in (found, ctx, pieces, variants, sized, solved, repeated):
+    for frame in (found, ctx, per, pieces, variants, solved, repeated):
         discard(frame)
     out = skew_join(keyed, ranges, ["r1", "r2"], "left").select("doc_id", "text", "spans")
-    return out.mapInArrow(_removed(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, runs array<struct<a: long, z: long>>")
+    return out.mapInArrow(_removed(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string, runs array<struct<a: long, z: long>>")

@@ -5,9 +5,13 @@ edges form components, found distributed, and a block decided for any member blo
 that no rule decides. An explicit allow takes precedence: an allowed url stays allowed, and does
 not unblock its aliases.
 
+Two urls are one node where they differ in the case of scheme and host, in the fragment, or in an
+empty path against ``/``; nothing else is equal without an edge. Link targets are resolved against the
+page's url.
+
 Defined results: a null url, or one without ``://``, has empty host and path, fits no rule, has no
-alias and is allowed; null html has no links; repeated rows get the same verdict; an empty table
-gives no row.
+alias and is allowed; null html has no links; a null page_id is kept; repeated rows get the same verdict;
+an empty table gives no row; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,8 +25,9 @@ from .common import connected_components, skew_join, store
 Rule = tuple[str, str, str]
 MOST_LITERAL = 256
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Query parameters that only track, dropped from the alias key.
-TRACKING = r"(?i)(^|&)(utm_[a-z]+|ref|fbclid|gclid)=[^&]*"
+#: Character references decoded in link targets (fixed values); the ampersand last.
+REFERENCES = [(r"(?i)&quot;|&#0*34;|&#x0*22;", '"'), (r"(?i)&apos;|&#0*39;|&#x0*27;", "'"), (r"(?i)&lt;|&#0*60;|&#x0*3c;", "<"), (r"(?i)&gt;|&#0*62;|&#x0*3e;", ">"),
+              (r"(?i)&sol;|&#0*47;|&#x0*2f;", "/"), (r"(?i)&amp;|&#0*38;|&#x0*26;", "&")]
 
 
 def rest_of(url: Column) -> Column:
@@ -39,20 +44,51 @@ def path_of(url: Column) -> Column:
 
 
 def alias_key(url: Column) -> Column:
-    """What every trivially redirecting form of a url shares: no scheme, www., fragment, last slash or tracking."""
-    query = F.regexp_extract(rest_of(url), r"^[^?#]*\?([^#]*)", 1)
-    query = F.regexp_replace(F.regexp_replace(query, TRACKING, ""), r"^&+", "")
-    key = F.concat(F.regexp_replace(host_of(url), r"^www\.", ""), F.regexp_replace(path_of(url), r"/+$", ""), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
-    return F.when(host_of(url) != "", key)
+    """The url's node: scheme and host in lower case, path (at least ``/``) and query, no fragment."""
+    scheme = F.translate(F.regexp_extract(url, r"^(.*?)://", 1), UPPER, LOWER)
+    query = F.regexp_extract(rest_of(url), r"^[^?#]*(\?[^#]*)", 1)
+    path = F.when(path_of(url) == "", F.lit("/")).otherwise(path_of(url))
+    return F.when(host_of(url) != "", F.concat(scheme, F.lit("://"), host_of(url), path, query))
+
+
+def resolve(target: Column, url: Column) -> Column:
+    """A link's target against the url it stands in (RFC 3986, 5.2): scheme, host, path or query may be missing."""
+    scheme, host = F.regexp_extract(url, r"^(.*?)://", 1), F.regexp_extract(rest_of(url), r"^([^/?#]*)", 1)
+    site = F.concat(scheme, F.lit("://"), host)
+    bare = F.regexp_extract(target, r"^([^?#]*)", 1)
+    tail = F.regexp_extract(target, r"^[^?#]*(\??[^#]*)", 1)
+    folder = F.regexp_extract(path_of(url), r"^(.*/)", 1)
+    joined = F.when(bare.startswith("/"), bare).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), bare))
+    segments = F.split(F.substring(joined, F.lit(2), F.length(joined)), "/", -1)
+
+    def step(acc: Column, x: Column) -> Column:
+        return F.when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).when(x == ".", acc).otherwise(F.concat(acc, F.array(x)))
+
+    clean = F.aggregate(segments, F.array().cast("array<string>"), step)
+    last = F.element_at(segments, -1)
+    path = F.concat(F.lit("/"), F.array_join(clean, "/"), F.when(last.isin(".", "..") & (F.size(clean) > 0), F.lit("/")).otherwise(F.lit("")))
+    own = F.regexp_extract(rest_of(url), r"^[^?#]*(\??[^#]*)", 1)
+    return (
+        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None))  # mailto: and the like lead to no page
+        .when(target.startswith("//"), F.concat(scheme, F.lit(":"), target))
+        .when(bare == "", F.concat(site, path_of(url), F.when(tail == "", own).otherwise(tail)))
+        .otherwise(F.concat(site, path, tail))
+    )
 
 
 def html_links(html: Column, url: Column) -> Column:
-    """Targets of canonical links and refresh redirects, made absolute."""
+    """Targets of canonical links and refresh redirects, decoded and made absolute."""
     tags = F.filter(F.regexp_extract_all(F.coalesce(html, F.lit("")), F.lit(r"(?i)<(?:link|meta)\b[^>]*>"), F.lit(0)),
-                    lambda t: t.rlike(r"""(?i)\brel\s*=\s*["']?canonical\b|http-equiv\s*=\s*["']?refresh\b"""))
-    found = F.transform(tags, lambda t: F.regexp_extract(t, r"""(?i)(?:\bhref\s*=\s*["']?|\burl\s*=\s*["']?)([^"'\s>]+)""", 1))
-    absolute = F.transform(found, lambda x: F.when(x.contains("://"), x).when(x.startswith("//"), F.concat(F.lit("http:"), x)).when(x.startswith("/"), F.concat(F.lit("http://"), host_of(url), x)))
-    return F.filter(absolute, lambda x: x.isNotNull())
+                    lambda t: t.rlike(r"""(?i)\brel\s*=\s*["']?\s*canonical\b|http-equiv\s*=\s*["']?\s*refresh\b"""))
+    found = F.transform(tags, lambda t: F.regexp_extract(t, r"""(?i)(?:\bhref\s*=\s*["']?|\burl\s*=\s*["']?)\s*([^"'\s>]+)""", 1))
+
+    def decoded(x: Column) -> Column:
+        for pattern, char in REFERENCES:
+            x = F.regexp_replace(x, pattern, char)
+        return x
+
+    return F.filter(F.transform(F.filter(found, lambda x: x != ""), lambda x: resolve(decoded(x), url)), lambda x: x.isNotNull())
 
 
 def _fits(host: Column, path: Column, rule: Column) -> Column:
@@ -86,15 +122,14 @@ def judge(pages: DataFrame, rules: list[Rule], edges: DataFrame | None = None) -
     hops = rows.where("size(links) > 0 AND node IS NOT NULL").select("node", F.explode("links").alias("to"))
     if edges is not None:
         hops = hops.union(edges.select(alias_key(F.col("src")), F.col("dst")))
-    hops = hops.select("node", alias_key(F.col("to")).alias("dst"), host_of(F.col("to")).alias("host"), path_of(F.col("to")).alias("path")).where("node IS NOT NULL AND dst IS NOT NULL").distinct()
+    hops = store(hops.select("node", alias_key(F.col("to")).alias("dst")).where("node IS NOT NULL AND dst IS NOT NULL").distinct())
     roots = connected_components(hops.select(F.col("node").alias("src"), "dst"))
-    decided = rows.where("action = 'block'").select("node").union(apply_rules(hops, rules).where("action = 'block'").select("dst"))
-    decided = skew_join(decided.distinct(), roots.withColumnRenamed("node", "n").select(F.col("n").alias("node"), "component"), ["node"], "left")
-    blocked = decided.select(F.coalesce("component", "node").alias("component")).distinct().withColumn("bad", F.lit(True))
-    # Only urls that no rule decides need their component; aliases are asked once each.
-    asked = rows.where("action IS NULL AND node IS NOT NULL").select("node").distinct()
-    asked = skew_join(asked, roots, ["node"], "left").select("node", F.coalesce("component", "node").alias("component"))
-    bad = skew_join(asked, blocked, ["component"]).select("node", "bad")
-    out = skew_join(rows.drop("links"), bad, ["node"], "left")
+    # Only urls with an edge have aliases. A block of any of them, page or mere target, is the component's.
+    nodes = hops.select("node").union(hops.select("dst")).distinct()
+    nodes = skew_join(nodes, roots, ["node"], "left").select("node", F.coalesce("component", "node").alias("component"), host_of(F.col("node")).alias("host"), path_of(F.col("node")).alias("path"))
+    nodes = store(apply_rules(nodes, rules))
+    blocked = nodes.where("action = 'block'").select("component").distinct()
+    aliases = skew_join(nodes.select("node", "component"), blocked, ["component"]).select("node", F.lit(True).alias("bad"))
+    out = skew_join(rows.drop("links"), aliases, ["node"], "left")
     verdict = F.coalesce("action", F.when(F.col("bad"), F.lit("block")), F.lit("allow"))
     return out.select("page_id", "url", "host", "path", "rule", "action", verdict.alias("verdict"))
