@@ -130,17 +130,20 @@ class Encoder:
     no run of unknowns crosses the start of a marked word, so words are units and encoding or decoding
     them on their own is exact. Where the normaliser does more than mark spaces, units are those of the
     normalised text and whole texts are decoded; where words are no units, the text is its only one.
-    ``max_units`` bounds the memory of units; when it is reached they start anew, which changes no result.
+    New units go to the library many at a time, as one text of words; its ids are cut where a piece begins
+    with the marker. ``max_units`` bounds the memory of units: those not met since it was last reached are
+    forgotten, which changes no result.
     """
 
-    def __init__(self, m: Model, max_units: int = 1 << 18):
+    def __init__(self, m: Model, max_units: int = 1 << 19):
         self.tok = build(m)
         self.normalizer, self.tok.normalizer = self.tok.normalizer, None
         plain = {p for p, _, kind in m.pieces if kind in (NORMAL, USER)}
         self.whole = MARK not in plain or any(MARK in p.lstrip(MARK) for p in plain)
         self.local = not self.whole and m.escape_whitespaces and m.add_dummy_prefix and not m.charsmap and not m.remove_extra_whitespaces
         self.words = {mark: re.compile(f"{mark}*[^{mark}]+|{mark}+").findall for mark in (" ", MARK)}
-        self.max_units, self.ids, self.bad = max_units, {}, set()
+        self.starts = np.array([p.startswith(MARK) for p, _, _ in m.pieces])
+        self.max_units, self.ids, self.old, self.bad = max_units, {}, {}, set()
 
     def units(self, text: str) -> list[str]:
         """Normalised units; where the normaliser is local, each without its first marker and with spaces for others."""
@@ -155,17 +158,38 @@ class Encoder:
         x = self.normalizer.normalize_str(text)
         return self.words[MARK](x) if not self.whole else [x] if x else []
 
-    def _learn(self, texts: list[list[str]]) -> None:
-        new = list(set().union(*texts).difference(self.ids))
-        marked = [MARK + u.replace(" ", MARK) for u in new] if self.local else new
+    def _single(self, units: list[str]) -> None:
+        """Encode units one by one."""
+        marked = [MARK + u.replace(" ", MARK) for u in units] if self.local else units
         got = [e.ids for e in self.tok.encode_batch_fast(marked, add_special_tokens=False)]
-        self.ids.update((u, struct.pack(f"<{len(ids)}i", *ids)) for u, ids in zip(new, got))
+        self.ids.update((u, struct.pack(f"<{len(ids)}i", *ids)) for u, ids in zip(units, got))
         if self.local:
-            self.bad.update(u for u, back in zip(new, self.tok.decode_batch(got, skip_special_tokens=False)) if back != u)
+            self.bad.update(u for u, back in zip(units, self.tok.decode_batch(got, skip_special_tokens=False)) if back != u)
+
+    def _learn(self, texts: list[list[str]]) -> None:
+        new = set().union(*texts).difference(self.ids)
+        if self.old:
+            known = {u: self.old[u] for u in new if u in self.old}
+            self.ids |= known
+            new.difference_update(known)
+        alone = [u for u in new if " " in u or not u] if self.local else list(new)
+        words = list(new.difference(alone))
+        parts = [words[i:i + 1000] for i in range(0, len(words), 1000)]
+        for part, e in zip(parts, self.tok.encode_batch_fast([MARK + MARK.join(p) for p in parts], add_special_tokens=False)):
+            ids = np.array(e.ids, "<i4")
+            cut = np.flatnonzero(self.starts[ids])
+            if len(cut) != len(part) or self.tok.decode(e.ids, skip_special_tokens=False) != " ".join(part):
+                alone += part
+                continue
+            raw, ends = ids.tobytes(), [*(4 * cut[1:]).tolist(), 4 * len(ids)]
+            self.ids.update((u, raw[a:z]) for u, a, z in zip(part, (4 * cut).tolist(), ends))
+        if alone:
+            self._single(alone)
 
     def encode_batch(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
         if len(self.ids) > self.max_units:
-            self.ids, self.bad = {}, set()
+            self.ids, self.old = {}, self.ids
+            self.bad.intersection_update(self.old)
         units, out, later = [self.units(x) for x in texts], [], []
         for i, u in enumerate(units):
             try:
