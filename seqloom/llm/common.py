@@ -41,11 +41,13 @@ _written: dict[str, SparkSession] = {}
 def store(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends at files that survive any executor.
 
-    The files go with discard() or release(), or when the driver exits.
+    The files go with discard() or release(), or when the driver exits. The job's shuffle files are of
+    no more use; Spark deletes them once the driver's JVM has collected the job's objects, so it is asked to.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/seqloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark._jvm.System.gc()
     p, fs = _fs(spark, path)
     fs.deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)
