@@ -46,6 +46,24 @@ def hit_or_none(hit: Column) -> Column:
     return F.coalesce(F.substring_index(F.nullif(hit, F.lit(MISSING)), FIELD, 1), F.lit("noHit"))
 
 
+#: Column and name of the hit that a header shows, by database and kind of sequence (fixed values).
+HEADER_HITS = {("swissprot", "nucl"): ("c3", "SwissProt_Blastx"), ("swissprot", "prot"): ("c7", "SwissProt_Blastp"), ("uniprot", "nucl"): ("c8", "UniProt_Blastx"), ("uniprot", "prot"): ("c9", "UniProt_Blastp")}
+
+
+def annotation_header(*wanted: tuple[str, str], id_col: str = "c1") -> Column:
+    """``>id Name:hit`` of an annotation report's row, for one (database, kind) or several in a row; 'noHit' for none."""
+    for w in wanted or [()]:
+        if w not in HEADER_HITS:
+            raise ValueError(f"no annotation column for {w}; one of {sorted(HEADER_HITS)}")
+    parts = [x for w in wanted for x in (F.lit(f" {HEADER_HITS[w][1]}:"), hit_or_none(F.col(HEADER_HITS[w][0])))]
+    return F.concat(F.lit(">"), F.col(id_col), *parts)
+
+
+def axis_limit(n: Column) -> Column:
+    """A plot axis' end: the next hundred with room above."""
+    return F.round(n + 150, -2)
+
+
 def reverse_complement(seq: Column) -> Column:
     return F.reverse(F.translate(seq, "ACGTacgt", "TGCAtgca"))
 

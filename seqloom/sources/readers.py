@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
+from seqloom.operators.relational import require_rows
+
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """id, description, seq, source_file of every record; wrapped sequences are joined."""
@@ -26,17 +28,37 @@ def read_tsv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
     return spark.read.csv(path, sep="\t", comment="#", schema=schema, nullValue=".")
 
 
+#: sample, mate: a mate is 1 or 2, alone or after R, before the suffixes; a chunk number may follow.
+MATE_NAME = r"^(.+?)[._][Rr]?([12])(?:_[0-9]{3})?(?:\.[A-Za-z0-9]+)+$"
+
+
 def read_file_pairs(spark: SparkSession, path: str, arity: int | None = 2) -> DataFrame:
-    """sample_id and its files by mate, from names such as x_R1.fastq.gz; other arities raise no row unless arity is None."""
+    """sample_id and its files by mate, from names such as x_1.fq, x.R2.fastq.gz or x_R1_001.fastq.gz.
+
+    A file whose name has no mate raises, and so does a sample with another number of files than
+    ``arity``, or with a mate twice; with arity None samples may have any files. Only names are read;
+    files without content do not count, as Spark lists none.
+    """
     files = spark.read.format("binaryFile").load(path).select("path")
     name = F.element_at(F.split("path", "/"), -1)
-    files = files.withColumn("sample_id", F.regexp_extract(name, r"^(.*?)[._]R?[12]\b", 1))
-    out = files.groupBy("sample_id").agg(F.sort_array(F.collect_list("path")).alias("files"))
-    return out if arity is None else out.where(F.size("files") == arity)
+    files = files.select("path", F.regexp_extract(name, MATE_NAME, 1).alias("sample_id"), F.regexp_extract(name, MATE_NAME, 2).alias("mate"))
+    if arity is None:
+        files = files.withColumn("sample_id", F.when(F.col("sample_id") == "", F.substring_index(F.element_at(F.split("path", "/"), -1), ".", 1)).otherwise(F.col("sample_id")))
+    out = files.groupBy("sample_id").agg(F.sort_array(F.collect_list(F.struct("mate", "path"))).alias("f"))  # a sample's files
+    if arity is not None:
+        fits = (F.col("sample_id") != "") & (F.size("f") == arity) & (F.size(F.array_distinct("f.mate")) == arity)
+        wrong = out.where(~fits).select("sample_id", "f.path").limit(5).collect()
+        if wrong:
+            raise ValueError("not a set of %d mates: %s" % (arity, "; ".join(f"{r[0] or 'no mate in the name'}: {', '.join(r[1])}" for r in wrong)))
+        require_rows(out, path)
+    return out.select("sample_id", F.col("f.path").alias("files"))
 
 
 def manifest(lines: DataFrame) -> DataFrame:
-    """section, name, url of a ';' manifest given as (line_no, line); a name with several rows resolves to null."""
+    """section, name, url of a ';' manifest given as (line_no, line); a name with several rows resolves to null.
+
+    One task carries the section down the lines: a manifest is a hand-written file of some hundred lines.
+    """
     w = Window.orderBy("line_no")
     rows = lines.withColumn("section", F.last(F.when(F.col("line").startswith("##"), F.regexp_replace("line", "^#+", "")), True).over(w)).where("line LIKE '%;%'")
     parts = F.split("line", ";")
@@ -54,16 +76,22 @@ class _Fastq(DataSourceReader):
 
     def read(self, partition):
         import io
+        from itertools import islice
 
+        import pyarrow as pa
         from pyarrow import fs
 
         store, name = fs.FileSystem.from_uri(partition.value)
         with store.open_input_stream(name) as raw, io.TextIOWrapper(io.BufferedReader(raw, 1 << 20), "utf-8") as f:  # gz by its suffix
-            no = 0
-            while head := f.readline():
-                seq, _, qual = f.readline(), f.readline(), f.readline()
-                yield no, head[1:].split()[0], seq.rstrip("\n"), qual.rstrip("\n"), partition.value
-                no += 1
+            no, text = 0, pa.string()
+            while lines := list(islice(f, 4 * 10_000)):  # an Arrow batch at a time
+                if len(lines) % 4:
+                    raise ValueError(f"{partition.value} ends within a record")
+                n = len(lines) // 4
+                ids = [head[1:].split(None, 1)[0] if len(head) > 2 else "" for head in lines[::4]]
+                cols = [pa.array(range(no, no + n), pa.int64()), pa.array(ids, text), pa.array([x.rstrip("\r\n") for x in lines[1::4]], text), pa.array([x.rstrip("\r\n") for x in lines[3::4]], text), pa.array([partition.value] * n, text)]
+                yield pa.RecordBatch.from_arrays(cols, ["pair_no", "read_id", "seq", "qual", "path"])
+                no += n
 
 
 class FastqSource(DataSource):
