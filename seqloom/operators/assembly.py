@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.functions.text import kmers, mean_quality, reverse_complement
+from seqloom.functions.text import chars, kmers, mean_quality, reverse_complement
 
 from .shuffle import cut, dealt_join
 
@@ -21,6 +21,30 @@ def filter_pairs(reads: DataFrame, min_qual: float, pair: str = "pair_no") -> Da
     return reads.join(worst.where(F.col("_q") >= min_qual).select(pair), pair, "left_semi")
 
 
+def quality_by_position(reads: DataFrame, shares: tuple[float, ...] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> DataFrame:
+    """pos, n, mean and quantiles of the Phred scores at every position of reads(qual), from 1; exact, from counts per score."""
+    scores = reads.select(F.posexplode(chars(F.col("qual"))).alias("pos", "c")).groupBy((F.col("pos") + 1).alias("pos"), (F.ascii("c") - 33).alias("q")).agg(F.count(F.lit(1)).alias("k"))
+    quantiles = F.percentile("q", [float(s) for s in shares], F.col("k"))
+    per = scores.groupBy("pos").agg(F.sum("k").alias("n"), F.round(F.sum(F.col("q") * F.col("k")) / F.sum("k"), 4).alias("mean"), quantiles.alias("_p"))
+    return per.select("pos", "n", "mean", *[F.get("_p", F.lit(i)).alias(f"p{round(100 * s)}") for i, s in enumerate(shares)])
+
+
+def trim_adapters(reads: DataFrame, adapter: str, least: int = 8) -> DataFrame:
+    """reads(seq, qual) cut where the adapter begins: at its first whole occurrence, or where the read ends in
+    ``least`` or more of its first letters. A read that is all adapter is empty afterwards."""
+    whole = F.instr("seq", adapter) - 1
+    ends = [F.when(F.endswith("seq", F.lit(adapter[:n])), F.length("seq") - n) for n in range(len(adapter) - 1, least - 1, -1)]
+    cut_at = F.when(whole >= 0, whole).otherwise(F.coalesce(*ends, F.length("seq")))
+    return reads.withColumn("_at", cut_at).withColumn("seq", F.expr("substring(seq, 1, _at)")).withColumn("qual", F.expr("substring(qual, 1, _at)")).drop("_at")
+
+
+def normalise_stats(before: DataFrame, after: DataFrame, pair: str = "pair_no") -> DataFrame:
+    """pairs_before, pairs_after, discarded, share_kept of a normalisation."""
+    n = lambda df, name: df.agg(F.count_distinct(pair).alias(name))
+    both = n(before, "pairs_before").join(F.broadcast(n(after, "pairs_after")), F.lit(True))
+    return both.withColumn("discarded", F.expr("pairs_before - pairs_after")).withColumn("share_kept", F.expr("round(pairs_after / nullif(pairs_before, 0), 6)"))
+
+
 def canonical(kmer: Column) -> Column:
     """The lesser of a k-mer and its reverse complement."""
     return F.least(kmer, reverse_complement(kmer))

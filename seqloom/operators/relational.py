@@ -72,6 +72,24 @@ def status_of(df: DataFrame, keys: list[str], scaffold: DataFrame, partial: Colu
     return scaffold.join(hits, keys, "left").withColumn("status", status).drop("n", "p")
 
 
+def select_members(df: DataFrame, name: str, pattern: str, key: str) -> DataFrame:
+    """The one member of each group whose name matches a regex; a group with several of them raises when it is read."""
+    hit = df.where(F.col(name).rlike(pattern))
+    many = Window.partitionBy(key)
+    one = F.when(F.count(F.lit(1)).over(many) > 1, F.raise_error(F.concat(F.lit("several members match in group "), F.col(key).cast("string"))).cast("boolean")).otherwise(F.lit(True))
+    return hit.withColumn("_one", one).where("_one").drop("_one")
+
+
+def transpose(df: DataFrame, key: str, columns: list[str], keys: list) -> DataFrame:
+    """A small table turned: a row per column, a column per key; ``keys`` names and orders them."""
+    return df.unpivot(key, columns, "name", "_v").groupBy("name").pivot(key, keys).agg(F.first("_v"))
+
+
+def records_of(fasta: DataFrame, ids: DataFrame) -> DataFrame:
+    """The FASTA records whose id is among ids(id), duplicates kept."""
+    return fasta.join(ids.select("id").distinct(), "id", "left_semi")
+
+
 def status_matrix(cells: DataFrame, key: str, column: str, values: list) -> DataFrame:
     """One row per id, one status column per table."""
     return cells.groupBy(key).pivot(column, values).agg(F.first("status"))
@@ -111,25 +129,38 @@ def cap_per_key(df: DataFrame, key: str, order: list[str], least: int, most: int
     return df.withColumn("_n", F.count(F.lit(1)).over(w)).withColumn("_r", F.row_number().over(w.orderBy(*order))).where(f"_n >= {least} AND _r <= {most}").drop("_n", "_r")
 
 
+#: Probes that may be broadcast.
+MOST_PROBES = 100_000
+
+
 def contained_in(df: DataFrame, key: str, text: str, probes: DataFrame, probe: str, anchor: int = 6) -> DataFrame:
     """Keys of the rows whose text contains any probe as a substring, each once.
 
     Where a probe occurs in a text, the words inside it (all but the first and last, which the text may
     extend) are words of the text. So ``anchor`` inner words of a probe are looked up among the text's
-    windows by hash, and only the rows found are compared. Probes with fewer inner words have no
-    anchor and are compared with every row. Null texts and null probes match nothing.
+    windows by hash, and only the rows found are compared. Probes with fewer inner words have an anchor
+    of all of them; those of one or two words have none and are compared with every row, MOST_PROBES
+    of them at a time. Null texts and null probes match nothing.
     """
     p = probes.select(F.col(probe).alias("_p")).where("_p IS NOT NULL").distinct()
-    inner = F.split("_p", " ", -1)
-    anchored = p.where(F.size(inner) >= anchor + 2).select("_p", F.xxhash64(F.slice(inner, 2, anchor)).alias("_a"))
+    p = p.withColumn("_i", F.split("_p", " ", -1)).withColumn("_n", F.least(F.size("_i") - 2, F.lit(anchor)))
     rows = df.select(F.col(key), F.col(text).alias("_t"))
-    words = rows.select(key, F.split("_t", " ", -1).alias("_w")).where(F.size("_w") >= anchor)
-    windows = F.transform(F.sequence(F.lit(1), F.size("_w") - anchor + 1), lambda i: F.xxhash64(F.slice("_w", i, anchor)))
-    found = words.select(key, F.explode(F.array_distinct(windows)).alias("_a")).join(anchored, "_a").select(key, "_p")
+    words = rows.select(key, F.split("_t", " ", -1).alias("_w"))
     inside = F.contains("_t", "_p")
-    by_anchor = rows.join(found, key).where(inside).select(key)
-    by_scan = rows.join(p.where(F.size(inner) < anchor + 2), inside, "left_semi").select(key)
-    return by_anchor.unionAll(by_scan).distinct()
+    out = []
+    for n in [r[0] for r in p.where("_n > 0").select("_n").distinct().orderBy("_n").collect()]:  # lengths of anchors, at most ``anchor`` of them
+        name = lambda c, at, n=n: F.xxhash64(F.lit(n), *[F.get(c, at + j) for j in range(n)])
+        anchors = p.where(F.col("_n") == n).select("_p", name("_i", F.lit(1)).alias("_a"))
+        windows = words.where(F.size("_w") >= n).select(key, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("_w") - n), lambda i: name("_w", i)))).alias("_a"))
+        # Windows without an anchor go before anything is exchanged, as long as the anchors are few.
+        few = anchors.limit(MOST_PROBES + 1).count() <= MOST_PROBES
+        found = windows.join(F.broadcast(anchors) if few else anchors, "_a").select(key, "_p")
+        out.append(rows.join(found, key).where(inside).select(key))
+    short = p.where("_n <= 0").select("_p")
+    parts = -(-short.count() // MOST_PROBES)
+    for i in range(parts):  # every part is broadcast and tried on every text
+        out.append(rows.join(F.broadcast(short.where(F.pmod(F.xxhash64("_p"), F.lit(parts)) == i)), inside, "left_semi").select(key))
+    return reduce(DataFrame.unionAll, out).distinct() if out else rows.select(key).limit(0)
 
 
 def flag_match(df: DataFrame, hit: DataFrame, key: str) -> DataFrame:
