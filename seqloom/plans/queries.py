@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from seqloom.functions import text as T
 from seqloom.operators import relational as R
+from seqloom.operators.shuffle import cut, dealt_join
 from seqloom.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +40,19 @@ def _cell():
  (SELECT DISTINCT l_orderkey, l_partkey, p_type, p_name FROM lineitem JOIN part ON l_partkey = p_partkey) WHERE upper(p_type) = (SELECT min(upper(p_type)) FROM part)
  GROUP BY 1) ORDER BY n DESC, name DESC LIMIT 15""")
 def q_go_topk(s, d):
+    """The commonest names among the distinct terms of one name space."""
+    part = table(s, d, "part").select("p_partkey", T.upper_ascii(F.col("p_type")).alias("space"), T.upper_ascii(F.col("p_name")).alias("name"))
+    first = part.agg(F.min("space").alias("_f"))
+    terms = part.join(F.broadcast(first), F.col("space") == F.col("_f"))  # the dimension is filtered before the terms meet it
+    uses = table(s, d, "lineitem").select("l_orderkey", "l_partkey").join(terms, F.col("l_partkey") == F.col("p_partkey"), "inner").select("l_orderkey", "l_partkey", "name").distinct()
+    return R.top_k(uses, "name", 15)
+
+
+@query("""SELECT name, n FROM (SELECT upper(p_name) AS name, count(*) AS n FROM
+ (SELECT DISTINCT l_orderkey, l_partkey, p_type, p_name FROM lineitem JOIN part ON l_partkey = p_partkey) WHERE upper(p_type) = (SELECT min(upper(p_type)) FROM part)
+ GROUP BY 1) ORDER BY n DESC, name DESC LIMIT 15""")
+def q_go_shred(s, d):
+    """The same from multi-valued cells, one a row, taken apart again."""
     part = table(s, d, "part")
     cells = table(s, d, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey")).groupBy("l_orderkey").agg(F.array_join(F.sort_array(F.collect_list(_cell())), T.ENTRY).alias("cell"))
     terms = cells.select(F.explode(T.go_terms([F.col("cell")])).alias("t")).select(F.split_part("t", F.lit("^"), F.lit(2)).alias("space"), T.upper_ascii(F.split_part("t", F.lit("^"), F.lit(3))).alias("name"))
@@ -348,7 +362,12 @@ _SEED = "(SELECT DISTINCT {0}, substr(lower(text), i, 8) AS seed FROM (SELECT {0
 @query(f"""SELECT item_id, doc_id, n FROM (SELECT item_id, doc_id, count(*) AS n FROM {_SEED.format('item_id', 'benchmark')} b JOIN {_SEED.format('doc_id', 'documents')} d USING (seed) GROUP BY 1, 2)
  QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY n DESC, doc_id)=1""")
 def q_seed_join(s, d):
-    hits = _seeds(table(s, d, "benchmark"), "item_id").join(_seeds(table(s, d, "documents"), "doc_id"), "seed").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    asked = cut(_seeds(table(s, d, "benchmark"), "item_id"))
+    known = asked.select("seed").distinct()
+    # Seeds that nobody asks for go before the exchange, as long as those asked for are few.
+    known = F.broadcast(known) if known.limit(R.MOST_PROBES + 1).count() <= R.MOST_PROBES else known
+    found = table(s, d, "documents").select("doc_id", F.explode(T.kmers(F.lower("text"), 8)).alias("seed")).join(known, "seed", "left_semi").distinct()
+    hits = dealt_join(found, asked, "seed").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("n"))
     return R.best_per_key(hits, "item_id", F.desc("n"), F.col("doc_id"))
 
 
@@ -376,39 +395,130 @@ def _nucleotides():
 _NT = "translate(lower(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')"
 
 
-@query()
+@query(f"""WITH g AS (SELECT b1.b || b2.b || b3.b AS codon, 'FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG'[16*b1.i + 4*b2.i + b3.i + 1] AS aa
+  FROM (VALUES ('T',0),('C',1),('A',2),('G',3)) b1(b,i), (VALUES ('T',0),('C',1),('A',2),('G',3)) b2(b,i), (VALUES ('T',0),('C',1),('A',2),('G',3)) b3(b,i)),
+ s AS (SELECT doc_id::VARCHAR AS id, {_NT} AS x FROM documents), t AS (SELECT id, 1 AS strand, x FROM s UNION ALL SELECT id, -1, reverse(translate(x, 'ACGT', 'TGCA')) FROM s),
+ f AS (SELECT id, strand * (o + 1) AS frame, substr(x, o + 1) AS x FROM t, (VALUES (0),(1),(2)) v(o)),
+ c AS (SELECT id, frame, i, substr(x, 3*i + 1, 3) AS codon FROM (SELECT id, frame, x, unnest(range(0, length(x) // 3)) AS i FROM f)),
+ p AS (SELECT id, frame, string_split(string_agg(aa, '' ORDER BY i), '*') AS parts FROM c JOIN g USING (codon) GROUP BY 1, 2),
+ q AS (SELECT id, frame, n, len(parts) AS m, parts[n] AS p FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS n FROM p)),
+ o AS (SELECT id, frame, n, m, CASE WHEN n = 1 AND p[1] IS DISTINCT FROM 'M' THEN p WHEN position('M' IN p) > 0 THEN substr(p, position('M' IN p)) ELSE '' END AS pep FROM q)
+ SELECT id, frame::INT AS frame, CASE WHEN pep[1] = 'M' THEN CASE WHEN n < m THEN 'complete' ELSE '3prime_partial' END WHEN n < m THEN '5prime_partial' ELSE 'internal' END AS orf_type, pep FROM o WHERE length(pep) >= 30""")
 def q_orf_scan(s, d):
-    """Open reading frames of pseudo-nucleotide texts (rows only)."""
+    """Open reading frames of pseudo-nucleotide texts."""
     from seqloom.operators import sequence
 
     return sequence.find_orfs(table(s, d, "documents").select(F.col("doc_id").cast("string").alias("id"), _nucleotides().alias("seq")), min_aa=30)
 
 
+@query(f"""WITH s AS (SELECT doc_id::VARCHAR AS id, {_NT} AS x FROM documents), q AS (SELECT item_id::VARCHAR AS id, {_NT} AS x FROM benchmark),
+ ss AS (SELECT id, i, substr(x, i + 1, 12) AS g FROM (SELECT id, x, unnest(range(0, greatest(length(x) - 11, 0))) AS i FROM s)), qs AS (SELECT id, i, substr(x, i + 1, 12) AS g FROM (SELECT id, x, unnest(range(0, greatest(length(x) - 11, 0))) AS i FROM q)),
+ r AS (SELECT qs.id AS qid, ss.id AS sid, ss.i - qs.i AS diag, count(*) AS n, min(qs.i) AS a, max(qs.i) AS z FROM qs JOIN ss USING (g) GROUP BY 1, 2, 3 HAVING count(*) >= 2),
+ b AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY qid, sid ORDER BY n DESC, diag) = 1),
+ m AS (SELECT qid, sid, a, diag, z - a + 12 AS len, length(q.x) AS m, list_sum(list_transform(range(0, z - a + 12), lambda j: CASE WHEN q.x[a + j + 1] = s.x[a + diag + j + 1] THEN 1 ELSE 0 END)) AS same FROM b JOIN q ON q.id = qid JOIN s ON s.id = sid),
+ e AS (SELECT *, ((1.098612::DOUBLE * (same - (len - same))::DOUBLE) - ln(0.333::DOUBLE)) / ln(2::DOUBLE) AS bits, m * (SELECT sum(length(x)) FROM s) AS space FROM m)
+ SELECT qid AS qseqid, sid AS sseqid, len::BIGINT AS length, (len - same)::BIGINT AS mismatch, (a + 1)::BIGINT AS qstart, (a + len)::BIGINT AS qend, (a + diag + 1)::BIGINT AS sstart, (a + diag + len)::BIGINT AS send, round(bits, 6) AS bitscore FROM e WHERE space * pow(2::DOUBLE, -bits) <= 0.001::DOUBLE""")
+def q_homology(s, d):
+    """Scored ungapped hits of the benchmark's sequences on the documents', by an index of seeds."""
+    from seqloom.operators import search
+    from seqloom.sources import files
+
+    refs = cut(table(s, d, "documents").select(F.col("doc_id").cast("string").alias("id"), _nucleotides().alias("seq")))
+    asked = cut(table(s, d, "benchmark").select(F.col("item_id").cast("string").alias("id"), _nucleotides().alias("seq")))
+    hits = search.homology_hits(asked, refs, files.seeds(refs, "id", "seq", 12), 12)
+    whole = lambda c: F.col(c).cast("long").alias(c)
+    return hits.select("qseqid", "sseqid", *map(whole, ("length", "mismatch", "qstart", "qend", "sstart", "send")), F.round("bitscore", 6).alias("bitscore"))
+
+
+_GRAM = "(SELECT {0}, least(g, reverse(translate(g, 'ACGT', 'TGCA'))) AS g FROM (SELECT {0}, substr(x, i, 10) AS g FROM (SELECT {0}, x, unnest(range(1, greatest(length(x) - 8, 1))) AS i FROM {1})))"
+
+
+@query(f"""WITH r AS (SELECT conv_id, turn, {_NT} AS x FROM conversations), b AS (SELECT item_id, {_NT} AS x FROM benchmark), d AS (SELECT DISTINCT g FROM {_GRAM.format('item_id', 'b')}),
+ h AS (SELECT conv_id, turn, count(*) AS n, count(d.g) AS hits FROM {_GRAM.format('conv_id, turn', 'r')} k LEFT JOIN d ON k.g = d.g GROUP BY 1, 2),
+ m AS (SELECT DISTINCT conv_id FROM h WHERE hits > 0 AND hits >= 0.02::DOUBLE * n)
+ SELECT conv_id, turn, conv_id IN (SELECT conv_id FROM m) AS matched FROM conversations""")
+def q_reads_partition(s, d):
+    """Reads of a database's kind: a conversation goes with it as a whole if either of its turns shares enough k-mers."""
+    from seqloom.operators import search
+
+    reads = cut(table(s, d, "conversations").select("conv_id", F.col("turn").alias("mate"), _nucleotides().alias("seq")))
+    of, rest, _ = search.partition_reads(reads, table(s, d, "benchmark").select(_nucleotides().alias("seq")), 10, 0.02, "conv_id")
+    out = of.withColumn("matched", F.lit(True)).unionByName(rest.withColumn("matched", F.lit(False)))
+    return out.select("conv_id", F.col("mate").alias("turn"), "matched")
+
+
+@query("""SELECT pos::INT + 1 AS pos, count(*) AS n, round(avg(q), 4) AS mean, quantile_cont(q, 0.1) AS p10, quantile_cont(q, 0.25) AS p25, quantile_cont(q, 0.5) AS p50, quantile_cont(q, 0.75) AS p75, quantile_cont(q, 0.9) AS p90
+ FROM (SELECT i AS pos, (ord(h[i + 1]) - 33)::DOUBLE AS q FROM (SELECT h, unnest(range(0, length(h))) AS i FROM (SELECT sha256(url) AS h FROM pages))) GROUP BY 1""")
+def q_quality_by_pos(s, d):
+    """Mean and quantiles at every position of quality strings (a digest of each url stands in for them)."""
+    from seqloom.operators import assembly
+
+    return assembly.quality_by_position(table(s, d, "pages").select(F.sha2(F.col("url").cast("binary"), 256).alias("qual")))
+
+
+_HIT = "CASE WHEN c_custkey % {0} = 0 THEN '.' ELSE c_mktsegment || '^' || c_name END"
+
+
+@query("SELECT '>' || c_custkey::VARCHAR || ' SwissProt_Blastx:' || CASE WHEN c_custkey % 2 = 0 THEN 'noHit' ELSE c_mktsegment END || ' UniProt_Blastp:' || CASE WHEN c_custkey % 5 = 0 THEN 'noHit' ELSE c_mktsegment END AS header FROM customer")
+def q_annotation_headers(s, d):
+    rows = table(s, d, "customer").select(F.col("c_custkey").cast("string").alias("c1"), *[F.expr(_HIT.format(m)).alias(c) for c, m in (("c3", 2), ("c7", 3), ("c8", 4), ("c9", 5))])
+    return rows.select(T.annotation_header(("swissprot", "nucl"), ("uniprot", "prot")).alias("header"))
+
+
+@query(f"""SELECT CASE day WHEN 29 THEN 'x' ELSE 'x_final' END AS species, unnest(['S','D','F','M']) AS category, unnest([c, d, f, m])::BIGINT AS n, round(100 * unnest([c, d, f, m])::DOUBLE / (c + d + f + m), 1) AS percent
+ FROM (SELECT day, {_STACK} FROM {_CELLS} WHERE day IN (29, 30) GROUP BY 1)""")
+def q_status_vectors(s, d):
+    """The label, category, count and percent vectors of two sets side by side."""
+    per = q_status_stack(s, d).where("day IN (29, 30)").select(F.when(F.col("day") == 29, "x").otherwise("x_final").alias("species"), F.col("n").alias("_all"), *[F.col(c).alias(c.upper()) for c in "sdfm"])
+    long = per.unpivot(["species", "_all"], list("SDFM"), "category", "n")
+    return long.select("species", "category", "n", F.round(100 * F.col("n") / F.col("_all"), 1).alias("percent"))
+
+
+@query("""SELECT doc_id::VARCHAR AS query, 'erth' AS domain, i::INTEGER AS ali_from, (i + 3)::INTEGER AS ali_to, score FROM
+ (WITH c AS (SELECT doc_id, string_split(upper(regexp_replace(text, '[^A-Za-z]', '_', 'g')), '') AS c FROM documents WHERE length(text) >= 4), p AS (SELECT doc_id, c, unnest(range(1, len(c) - 2)) AS i FROM c)
+ SELECT doc_id, i, ((c[i]='E')::INT * 2.0::DOUBLE + (c[i+1]='R')::INT * 3.0::DOUBLE + (c[i+2]='T')::INT * 2.0::DOUBLE + (c[i+3]='H')::INT * 4.0::DOUBLE) - (4 - (c[i]='E')::INT - (c[i+1]='R')::INT - (c[i+2]='T')::INT - (c[i+3]='H')::INT)::DOUBLE AS score FROM p
+ QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i)=1)""")
+def q_profile_hits(s, d):
+    """The best place of a profile table's profile in every text, with its expectation."""
+    from seqloom.operators import sequence
+
+    rows = ", ".join(f"('erth', 'P1', {p}, '{c}', {w}D, 1.0D, 0.7D)" for p, c, w in ((1, "E", 2.0), (2, "R", 3.0), (3, "T", 2.0), (4, "H", 4.0)))
+    profile = s.sql(f"SELECT * FROM VALUES {rows} AS t(domain, accession, pos, letter, score, mu, lambda)")
+    texts = table(s, d, "documents").select(F.col("doc_id").alias("id"), F.regexp_replace("text", "[^A-Za-z]", "_").alias("seq"))
+    return sequence.profile_hits(texts, profile, other=-1.0, max_evalue=float("inf")).select("query", "domain", "ali_from", "ali_to", "score")
+
+
 @query()
 def q_species_split(s, d):
-    """Linear classifier on hashed k-mers, fitted on the labelled documents, for all documents (rows only)."""
+    """Linear classifier on hashed k-mers, fitted on four fifths of the labelled documents, for all documents (rows only)."""
     from seqloom.operators import sequence
 
     docs = table(s, d, "documents").join(table(s, d, "labels").select("doc_id", F.col("quality").alias("label")), "doc_id", "left")
     return sequence.species_split(docs.select("doc_id", "text", F.col("label").cast("double").alias("label")))
 
 
-@query()
+@query(r"""WITH RECURSIVE t AS (SELECT doc_id AS id, length(text) AS n, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') AS w FROM documents),
+ g AS (SELECT DISTINCT id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i+4], ' ') END AS g FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM t WHERE len(w) > 0)),
+ c AS (SELECT id, count(*) AS c FROM g GROUP BY 1), p AS (SELECT x.id AS a, y.id AS b, count(*) AS k FROM g x JOIN g y ON x.g = y.g AND x.id <> y.id GROUP BY 1, 2),
+ l AS (SELECT a, b FROM p JOIN c x ON x.id = a JOIN c y ON y.id = b WHERE k::DOUBLE / (x.c + y.c - k) >= 0.8::DOUBLE),
+ r AS (SELECT id AS a, id AS b FROM t UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a), m AS (SELECT a AS id, min(b) AS group_id FROM r GROUP BY 1)
+ SELECT id, group_id, (count(*) OVER (PARTITION BY group_id))::BIGINT AS n_in_group, row_number() OVER (PARTITION BY group_id ORDER BY coalesce(n, 0) DESC, id) = 1 AS kept FROM m JOIN t USING (id)""")
 def q_dedup_near(s, d):
-    """Pairs of texts by MinHash bands, with the similarity of their shingle sets (rows only)."""
+    """The near-duplicate group of every text, by MinHash bands and the similarity of shingle sets; the longest of each is kept."""
     from seqloom.operators import sequence
 
-    return sequence.minhash_pairs(table(s, d, "documents").select(F.col("doc_id").alias("id"), "text"))
+    return sequence.near_groups(table(s, d, "documents").select(F.col("doc_id").alias("id"), "text"))
 
 
-@query("SELECT string_split(r_name || '/1', ' ')[1] AS read_id, 'ACGT' AS seq, '@III' AS qual FROM region")
+@query(f"SELECT doc_id::VARCHAR AS read_id, {_NT} AS seq, repeat('@', length({_NT})) AS qual FROM documents")
 def q_fastq_scan(s, d):
-    """FASTQ files made from the data, read back by the data source."""
+    """FASTQ files made from the data, read back by the data source; quality lines start like headers."""
     from seqloom.operators.shuffle import checkpoint_dir
 
     s.dataSource.register(readers.FastqSource)
     path = f"{checkpoint_dir(s)}/fastq-{uuid.uuid4().hex}"
-    table(s, d, "region").select(F.concat(F.lit("@"), "r_name", F.lit("/1\nACGT\n+\n@III"))).write.text(path)
+    reads = table(s, d, "documents").select(F.col("doc_id").cast("string").alias("id"), _nucleotides().alias("seq"))
+    reads.select(F.concat(F.lit("@"), "id", F.lit(" read\n"), "seq", F.lit("\n+\n"), F.expr("repeat('@', length(seq))"))).write.text(path)
     return s.read.format("fastq").option("path", f"{path}/part-*").load().drop("path", "pair_no")
 
 

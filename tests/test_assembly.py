@@ -103,7 +103,7 @@ def test_run_modes(spark):
     genome = "".join(rng.choice("ACGT") for _ in range(300))
     reads = spark.createDataFrame([(i, m, genome[i * 8:i * 8 + 60], "I" * 60) for i in range(30) for m in (1, 2)], "pair_no long, mate int, seq string, qual string")
     out = runs.run(EngineConfig(mode="all", reads="x", k=(15, 21), max_read_len=60), reads=reads)
-    assert set(out) == {"contigs", "counts", "reduced", "metrics", "orfs", "orf_stats", "annotation"}
+    assert set(out) == {"quality", "filter_stats", "normalization_stats", "contigs", "counts", "reduced", "reduced_counts", "metrics", "mapping", "orfs", "orf_stats", "annotation"}
     assert {r.tag for r in out["counts"].collect()} == {"k15", "k21"}
     whole = genome[:29 * 8 + 60]
     assert [r.seq for r in out["reduced"].collect()] == [min(whole, back(whole))]

@@ -32,9 +32,18 @@ def test_oracle(spark, duck, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", sorted(set(Q.QUERIES) - set(Q.SQL)))
-def test_rows_only(spark, name):
-    assert Q.QUERIES[name](spark, SF).count() >= 0
+def test_queries_without_sql_have_tests_of_their_own():
+    """q_species_split: tests/test_whole_sequence.py; q_assemble: below."""
+    assert set(Q.QUERIES) - set(Q.SQL) == {"q_species_split", "q_assemble"}
+
+
+def test_assembly_of_the_query_equals_walking_the_graph(spark):
+    from test_assembly import brute_unitigs, parts
+
+    seqs = [r.seq for r in spark.read.parquet(f"{SF}/benchmark.parquet").select(Q._nucleotides().alias("seq")).collect()]
+    lines, circles = brute_unitigs(seqs, 25)
+    got = {r.seq for r in Q.q_assemble(spark, SF).collect()}
+    assert lines <= got and parts(got - lines, 25) == circles and len(got) == len(lines) + len(circles) > 10
 
 
 def test_text_rules(spark):
@@ -68,7 +77,7 @@ def test_fasta_round_trip(spark, tmp_path):
 
 
 def test_orf_types():
-    assert ("complete" in {k for _, k, _ in S.orfs_of("TAA" + "ATG" + "GCT" * 5 + "TAA" + "TT", 3)})
+    assert ("complete" in {k for _, k, _ in S.orfs_of(b"TAA" + b"ATG" + b"GCT" * 5 + b"TAA" + b"TT", 3, S.Translator())})
     assert S.translate("ATGTAA") == "M*"
 
 
