@@ -100,7 +100,8 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     strong = ~F.col("kind").isin(list(NEEDS))
     by_start = Window.partitionBy("key").orderBy("start", (~strong).cast("int"))
     reach = F.max(F.when(strong, F.col("stop"))).over(by_start.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.min(F.when(strong, F.col("start"))).over(by_start.rowsBetween(1, Window.unboundedFollowing))
+    from_end = Window.partitionBy("key").orderBy(F.desc("start"), strong.cast("int"))
+    ahead = F.min(F.when(strong, F.col("start"))).over(from_end.rowsBetween(Window.unboundedPreceding, -1))
     parts = parts.withColumn("_reach", reach).withColumn("_ahead", ahead)
     parts = parts.where(strong | ~(F.coalesce(F.col("_reach") > F.col("start"), F.lit(False)) | F.coalesce(F.col("_ahead") < F.col("stop"), F.lit(False))))
     role = F.create_map(*[F.lit(x) for kv in ROLE.items() for x in kv])
