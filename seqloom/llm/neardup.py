@@ -266,7 +266,8 @@ def keep_first(docs: DataFrame, words: int = 5, bits: int = 128, radius: int = 2
     fps = fingerprints(docs, words, tuple(range(42, 42 + bits // 64)), with_text_hash=True)
     rows = _grouped(fps, bits, radius, None, by_id=False)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("first")
-    stays = rows.groupBy("comp").agg(first).select(F.col("first.doc_id").alias("_i"), F.col("first.t").alias("_t"))
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_a"), F.xxhash64("text").alias("_b"))
-    kept = packed.join(stays, F.col("_a").eqNullSafe(F.col("_i")) & (F.col("_b") == F.col("_t")), "left_semi").dropDuplicates(["_a", "_b"])
+    no_id = F.lit(-(1 << 63))  # join and deduplication share one exchange of the texts, on plain equality
+    stays = rows.groupBy("comp").agg(first).select(F.coalesce("first.doc_id", no_id).alias("_a"), F.col("first.t").alias("_b"))
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.coalesce(F.col("doc_id").cast("long"), no_id).alias("_a"), F.xxhash64("text").alias("_b"))
+    kept = packed.join(stays, ["_a", "_b"], "left_semi").dropDuplicates(["_a", "_b"])
     return kept.select("_row.*")
