@@ -2,7 +2,9 @@
 
 Token counts are aggregated per source (map-side combined, so a hot source costs no more than
 another). Targets come from one pass over the source totals; each document is then emitted
-floor(rate) times plus one copy drawn from a hash of its id.
+floor(rate) times plus one copy drawn from a hash of its id. The words taken from a source are
+therefore its target in expectation, with a standard deviation of sqrt(f (1 - f) * sum of size^2), f
+the fraction of its rate; a few long documents make it large, and no draw exceeds the cap.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in order; an
 empty table gives an empty mix; rows that repeat an id share its draw.
