@@ -189,26 +189,36 @@ def _numbered(distinct: DataFrame, plan: list[list[int]]) -> DataFrame:
 
 
 def wide_links(distinct: DataFrame, bits: int, radius: int, plan: list[list[int]]) -> DataFrame:
-    """As hamming_links, for plans of hundreds of keys: keys are counted before anything is joined.
+    """As hamming_links, for plans of hundreds of keys: keys are counted before anything is joined, and no
+    group of near copies is expanded into its pairs.
 
-    One exchange of (key, id) gives each shared key's count, least and greatest id. A key of two members
-    is a pair as it stands; only keys of three or more are looked up again.
+    One exchange of (key, id) gives each shared key's count, least and greatest id. Every member is compared
+    with its key's least one; that is linear and ties most groups together. Only members that this leaves in
+    different components are compared with each other, so no link between components is lost.
     """
     keyed = _numbered(distinct, plan)
     groups = store(keyed.repartition("key").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("a"), F.max("id").alias("b")).where("n > 1"))
-    hot = groups.where("n > 2").select("key", "n")
+    hot = groups.where("n > 2").select("key", "a")
     few = hot.count() <= BROADCAST_KEYS
-    shared = store((keyed.join(F.broadcast(hot), "key") if few else skew_join(keyed, hot, ["key"])).select("key", "n", "id"))
-    small, large = shared.where(f"n <= {PAIRED_MEMBERS}").select("key", "id"), shared.where(f"n > {PAIRED_MEMBERS}")
-    met = small.alias("x").join(small.alias("y"), F.expr("x.key = y.key AND x.id < y.id")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    pairs = store(groups.where("n = 2 AND a < b").select("a", "b").union(met).distinct())
+    shared = store((keyed.join(F.broadcast(hot), "key") if few else skew_join(keyed, hot, ["key"])).select("key", "a", "id"))
     side = lambda c: distinct.select(F.col("id").alias(c), F.col("fp").alias(f"f{c}"))
-    both = skew_join(skew_join(pairs, side("a"), ["a"]), side("b"), ["b"])
     distance = " + ".join(f"bit_count(fa[{i}] ^ fb[{i}])" for i in range(bits // 64))
-    links = both.where(F.expr(f"{distance} <= {radius}")).select(F.col("a").alias("src"), F.col("b").alias("dst"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        both = skew_join(skew_join(pairs.where("a <> b").distinct(), side("a"), ["a"]), side("b"), ["b"])
+        return both.where(F.expr(f"{distance} <= {radius}")).select(F.col("a").alias("src"), F.col("b").alias("dst"))
+
+    near = store(verified(groups.where("n = 2").select("a", "b").union(shared.select("a", F.col("id").alias("b")))))
+    label = connected_components(near)
+    part = store(skew_join(shared.select("key", F.col("id").alias("node")), label, ["node"], "left").select("key", F.col("node").alias("id"), F.coalesce("component", "node").alias("comp")))
+    mixed = part.groupBy("key").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.count(F.lit(1)).alias("n")).where("_lo < _hi").select("key", "n")
+    part = store(skew_join(part, mixed, ["key"]))
+    small, large = part.where(f"n <= {PAIRED_MEMBERS}"), part.where(f"n > {PAIRED_MEMBERS}")
+    met = small.alias("x").join(small.alias("y"), F.expr("x.key = y.key AND x.id < y.id AND x.comp <> y.comp")).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    links = near.union(verified(met))
     if large.isEmpty():
         return links
-    return links.union(_large_links(skew_join(large, distinct.select("id", "fp"), ["id"]).withColumn("k", F.lit(0)), radius))
+    return links.union(_large_links(skew_join(large.select("key", "n", "id"), distinct.select("id", "fp"), ["id"]).withColumn("k", F.lit(0)), radius))
 
 
 def _variant_links(members: DataFrame, radius: int) -> DataFrame:
