@@ -474,10 +474,9 @@ def q_status_vectors(s, d):
     return long.select("species", "category", "n", F.round(100 * F.col("n") / F.col("_all"), 1).alias("percent"))
 
 
-@query("""SELECT doc_id::VARCHAR AS query, 'erth' AS domain, i::INTEGER AS ali_from, (i + 3)::INTEGER AS ali_to, score FROM
- (WITH c AS (SELECT doc_id, string_split(upper(regexp_replace(text, '[^A-Za-z]', '_', 'g')), '') AS c FROM documents WHERE length(text) >= 4), p AS (SELECT doc_id, c, unnest(range(1, len(c) - 2)) AS i FROM c)
- SELECT doc_id, i, ((c[i]='E')::INT * 2.0::DOUBLE + (c[i+1]='R')::INT * 3.0::DOUBLE + (c[i+2]='T')::INT * 2.0::DOUBLE + (c[i+3]='H')::INT * 4.0::DOUBLE) - (4 - (c[i]='E')::INT - (c[i+1]='R')::INT - (c[i+2]='T')::INT - (c[i+3]='H')::INT)::DOUBLE AS score FROM p
- QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i)=1)""")
+@query("""WITH c AS (SELECT doc_id, string_split(upper(regexp_replace(text, '[^A-Za-z]', '_', 'g')), '') AS c FROM documents WHERE length(text) >= 4), p AS (SELECT doc_id, c, unnest(range(1, len(c) - 2)) AS i FROM c)
+ SELECT doc_id::VARCHAR AS query, 'erth' AS domain, i::INTEGER AS ali_from, (i + 3)::INTEGER AS ali_to, score FROM (SELECT doc_id, i, ((c[i]='E')::INT * 3 + (c[i+1]='R')::INT * 4 + (c[i+2]='T')::INT * 3 + (c[i+3]='H')::INT * 5 - 4)::DOUBLE AS score FROM p)
+ QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, i)=1""")
 def q_profile_hits(s, d):
     """The best place of a profile table's profile in every text, with its expectation."""
     from seqloom.operators import sequence
