@@ -156,6 +156,21 @@ def test_repeated_spans_brute_force(docs, rows, monkeypatch, most):
             assert g.text == kept.decode("utf-8", "replace") and sum(x.z - x.a for x in g.runs) == sum(cover)
 
 
+def test_passages_are_judged_by_their_bytes(spark):
+    rng = random.Random(5)
+    prose = lambda n: " " + " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 7))) for _ in range(n)) + " "
+    short, exact = prose(55), prose(90)[:400]
+    assert len(short) < 400 and len(exact) == 400 and len(exact.split()) > 50
+    # Digits on either side differ, so a passage ends where it ends.
+    texts = [f"{prose(80)}{i}{passage}{i}{prose(80)}" for i, passage in enumerate([short, short, exact, exact, prose(60), prose(60)])]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for length, taken in ((400, ["", "", exact, exact, "", ""]), (250, [short, short, exact, exact, "", ""])):
+        for r in suffix.repeated_spans(frame, length).collect():
+            text, passage = texts[r.doc_id], taken[r.doc_id]
+            assert (r.n_bytes, r.n_removed, r.n_spans) == (len(text), len(passage), bool(passage))
+            assert r.text == (text.replace(passage, "") if passage else text)
+
+
 def test_line_templates(docs, rows):
     out = linededup.dedup_lines(docs)
     got = {r.doc_id: r for r in out.collect()}
